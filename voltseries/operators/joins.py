@@ -61,13 +61,14 @@ def align_to_hours(
     Each asset expands its own hour sequence (no cross join), and a semi-join
     keeps the hours that occur.
     """
-    bounds = series.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi"))
-    first = bounds.select("lo").scalar()
-    last = bounds.select("hi").scalar()
-    hours = F.sequence(first, last, F.expr("interval 1 hour"))
+    span = series.agg(
+        F.struct(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).alias("span")
+    ).scalar()
+    hours = F.sequence("_span.lo", "_span.hi", F.expr("interval 1 hour"))
     axis = (
         assets.select("asset_id")
-        .withColumn("timestamp", F.explode(hours))
+        .withColumn("_span", span)
+        .select("asset_id", F.explode(hours).alias("timestamp"))
         .join(series.select("timestamp").distinct(), "timestamp", "left_semi")
     )
     return (

@@ -165,15 +165,16 @@ def generation_mix(daily: DataFrame, assets: DataFrame) -> DataFrame:
         )
     )
     # One row with a flag per technology.
-    present = wide.agg(
-        *[F.coalesce(F.max(kind) > 0, F.lit(False)).alias(kind) for kind in MIX_ORDER]
-    )
-    flags = {kind: present.select(kind).scalar() for kind in MIX_ORDER}
+    flags = wide.agg(
+        F.struct(
+            *[F.coalesce(F.max(kind) > 0, F.lit(False)).alias(kind) for kind in MIX_ORDER]
+        ).alias("flags")
+    ).scalar()
     series = F.array_compact(
         F.array(
             *[
                 F.when(
-                    F.col(f"_has_{kind}"),
+                    F.col(f"_present.{kind}"),
                     F.struct(
                         F.lit(i).alias("series"),
                         F.lit(kind).alias("asset_type"),
@@ -184,15 +185,15 @@ def generation_mix(daily: DataFrame, assets: DataFrame) -> DataFrame:
             ]
         )
     )
-    flagged = wide.withColumns({f"_has_{kind}": flag for kind, flag in flags.items()})
-    return flagged.select("date", F.inline(series))
+    return wide.withColumn("_present", flags).select("date", F.inline(series))
 
 
 def cumulative_mix(mix: DataFrame) -> DataFrame:
     """Lower and upper edge of each technology's band when stacked, per day."""
     stack = Window.partitionBy("date").orderBy("series")
-    upper = F.sum("value").over(stack.rowsBetween(Window.unboundedPreceding, 0))
-    return mix.withColumn("upper", upper).withColumn("lower", F.col("upper") - F.col("value"))
+    below = F.sum("value").over(stack.rowsBetween(Window.unboundedPreceding, -1))
+    upto = F.sum("value").over(stack.rowsBetween(Window.unboundedPreceding, 0))
+    return mix.select("*", _zero(below).alias("lower"), upto.alias("upper"))
 
 
 def fleet_roster(daily: DataFrame, assets: DataFrame) -> DataFrame:

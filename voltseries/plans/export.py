@@ -79,11 +79,17 @@ def manifest(
     generated_at: str,
 ) -> DataFrame:
     """One row: dates, asset counts by technology, row counts, version and labels."""
-    counts = assets_by_technology(assets).agg(
-        F.coalesce(F.sum("count"), F.lit(0)).alias("n"),
-        F.map_from_entries(
-            F.array_sort(F.collect_list(F.struct("asset_type", "count")))
-        ).alias("by_type"),
+    # One entry per technology.
+    by_type = F.array_sort(F.collect_list(F.struct("asset_type", "count")))
+    counts = (
+        assets_by_technology(assets)
+        .agg(
+            F.struct(
+                F.coalesce(F.sum("count"), F.lit(0)).alias("n"),
+                F.map_from_entries(by_type).alias("by_type"),
+            ).alias("counts")
+        )
+        .scalar()
     )
     weather_rows = weather.agg(F.count(F.lit(1)).alias("n")).scalar()
     span = daily.agg(
@@ -91,12 +97,12 @@ def manifest(
         F.max("date").cast("string").alias("end"),
         F.count(F.lit(1)).alias("rows"),
     )
-    return span.select(
+    return span.withColumn("counts", counts).select(
         F.lit(generated_at).alias("generated_at"),
         F.lit(run_id).alias("pipeline_run_id"),
         F.struct("start", "end").alias("date_range"),
-        counts.select("n").scalar().alias("asset_count"),
-        counts.select("by_type").scalar().alias("asset_type_counts"),
+        F.col("counts.n").alias("asset_count"),
+        F.col("counts.by_type").alias("asset_type_counts"),
         F.lit(weather_source).alias("weather_source"),
         F.struct(
             F.col("rows").alias("daily_performance"), weather_rows.alias("weather_performance")
