@@ -22,7 +22,7 @@ def main() -> int:
     folder, names = sys.argv[1], sys.argv[2:]
     spark = build_session(
         "oracle", "local[8]",
-        {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+        {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
          "spark.driver.memory": "8g"},
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltseries.functions import engineering as eng
-from voltseries.functions.numeric import count_when, round_dec
+from voltseries.functions.numeric import round_dec
 from voltseries.operators import kpis, metrics, quality
 from voltseries.operators import timeseries as ts
 from voltseries.operators.dedup import keep_latest
@@ -39,13 +39,22 @@ class Fleet:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.events = adapter.read_events(spark, folder)
-        self.raw_generation = adapter.generation_frame(self.events)
-        self.raw_weather = adapter.weather_frame(self.events)
-        self.assets = adapter.asset_frame(self.events)
 
     def scratch(self, label: str) -> str:
         return scratch_path(self.spark, label)
 
+    @cached_property
+    def raw_generation(self) -> DataFrame:
+        return adapter.generation_frame(self.events)
+
+    @cached_property
+    def raw_weather(self) -> DataFrame:
+        return adapter.weather_frame(self.events)
+
+    @cached_property
+    def assets(self) -> DataFrame:
+        return adapter.asset_frame(self.events)
+
     @cached_property
     def generation(self) -> DataFrame:
         """Newest raw generation record per asset and hour."""
@@ -127,9 +136,9 @@ class Fleet:
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(
         *[
-            round_dec(f.name, digits).alias(f.name)
+            round_dec(f"`{f.name}`", digits).alias(f.name)
             if isinstance(f.dataType, T.DoubleType)
-            else F.col(f.name)
+            else f.name
             for f in df.schema.fields
         ]
     )
@@ -177,9 +186,9 @@ def categories(f: Fleet) -> DataFrame:
 def quality_flags(f: Fleet) -> DataFrame:
     return f.stg_generation.groupBy("asset_type", "asset_size_category").agg(
         F.count(F.lit(1)).alias("hours"),
-        count_when(F.col("is_data_valid")).alias("valid_hours"),
-        count_when(F.col("is_zero_generation_anomaly")).alias("anomaly_hours"),
-        count_when(F.col("meets_availability_target")).alias("target_hours"),
+        F.count_if(F.col("is_data_valid")).alias("valid_hours"),
+        F.count_if(F.col("is_zero_generation_anomaly")).alias("anomaly_hours"),
+        F.count_if(F.col("meets_availability_target")).alias("target_hours"),
     )
 
 

@@ -13,11 +13,27 @@ def _col(c: Column | str) -> Column:
 
 
 def round_dec(c: Column | str, digits: int) -> Column:
-    """Round half up in decimal, so that binary noise cannot decide a tie.
+    """Round half up as a decimal of 12 digits would, NaN and infinities to NULL.
 
-    NaN and infinities become NULL.
+    Binary noise must not decide a tie, so ties are decided in decimal. A value
+    that is clearly not near a tie needs no decimal: there the nearest multiple is
+    plain double arithmetic, which is several times faster. Text is read as a SQL
+    expression.
     """
-    return F.round(_col(c).try_cast(_WIDE), digits).cast("double")
+    if isinstance(c, str):
+        scaled = f"({c}) * {10.0**digits:.0f}D"
+        return F.expr(
+            f"CASE WHEN abs({scaled}) < 1e9D AND abs({scaled} - rint({scaled})) < 0.499999D "
+            f"THEN rint({scaled}) / {10.0**digits:.0f}D + 0D "
+            f"ELSE CAST(round(try_cast(({c}) AS {_WIDE}), {digits}) AS DOUBLE) END"
+        )
+    scale = F.lit(10.0**digits)
+    scaled = c * scale
+    nearest = F.rint(scaled)
+    clear = (F.abs(scaled) < 1e9) & (F.abs(scaled - nearest) < 0.499999)
+    exact = F.round(c.try_cast(_WIDE), digits).cast("double")
+    # Adding 0.0 turns -0.0 into 0.0.
+    return F.when(clear, nearest / scale + F.lit(0.0)).otherwise(exact)
 
 
 def nan_to_null(c: Column | str) -> Column:
@@ -41,12 +57,12 @@ def clamp(c: Column | str, low: float | None = None, high: float | None = None)
     return F.when(c.isNotNull(), bounded)
 
 
-def capacity_factor(
-    generation: Column | str, capacity: Column | str, hours: Column | float = 1.0
-) -> Column:
-    """Generation over capacity times hours, 4 digits, NULL for zero capacity."""
-    hours = hours if isinstance(hours, Column) else F.lit(float(hours))
-    return round_dec(ratio(generation, _col(capacity) * hours), 4)
+def capacity_factor(generation: str, capacity: str, hours: float = 1.0) -> Column:
+    """Generation over capacity times hours, 4 digits, NULL for zero capacity.
+
+    Both arguments are SQL expressions, so this serves rows and aggregates alike.
+    """
+    return round_dec(f"try_divide({generation}, ({capacity}) * {float(hours)}D)", 4)
 
 
 def true_when(condition: Column) -> Column:
@@ -54,10 +70,6 @@ def true_when(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
-def count_when(condition: Column) -> Column:
-    return F.count(F.when(condition, F.lit(1)))
-
-
 def _pair(x: Column, y: Column) -> tuple[Column, Column]:
     both = x.isNotNull() & y.isNotNull()
     return F.when(both, x), F.when(both, y)

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltseries.functions.numeric import count_when, true_when
+from voltseries.functions.numeric import true_when
 
 # Limits of the standing checks.
 FRESHNESS_HOURS = 48
@@ -120,7 +120,7 @@ def rule_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     column_rules = [r for r in rules if isinstance(r, ColumnRule)]
     if column_rules:
         counts = df.agg(
-            *[count_when(r.broken()).alias(f"r{i}") for i, r in enumerate(column_rules)]
+            *[F.count_if(r.broken()).alias(f"r{i}") for i, r in enumerate(column_rules)]
         )
         entries = F.array(
             *[
@@ -214,7 +214,7 @@ def _outside(limits: dict[str, tuple[float | None, float | None]]) -> Column:
 
 
 def _violations(df: DataFrame, bad: Column) -> DataFrame:
-    count = count_when(bad)
+    count = F.count_if(bad)
     return df.agg(count.alias("out_of_range_rows"), (count == 0).alias("passed"))
 
 

@@ -2,59 +2,59 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltseries.functions import categories as cat
-from voltseries.functions.numeric import capacity_factor, count_when, ratio, round_dec
+from voltseries.functions.numeric import capacity_factor, round_dec
 
 DAY_KEYS = ("asset_id", "date")
 
 
-def _rounded(how, column: str, digits: int, name: str) -> Column:
-    return round_dec(how(column), digits).alias(name)
-
-
 def int_generation_daily(hourly: DataFrame) -> DataFrame:
     """Sums, means, counts and shares per asset and day. A sum of NULLs is NULL."""
-    gross, net = F.sum("gross_generation_mwh"), F.sum("net_generation_mwh")
     category = F.col("performance_category")
-    valid = count_when(F.col("is_data_valid"))
     return hourly.groupBy(*DAY_KEYS).agg(
         F.max("asset_type").alias("asset_type"),
         F.max("asset_capacity_mw").alias("asset_capacity_mw"),
         F.max("asset_size_category").alias("asset_size_category"),
-        round_dec(gross, 4).alias("total_gross_generation_mwh"),
-        round_dec(net, 4).alias("total_net_generation_mwh"),
-        _rounded(F.sum, "curtailment_mwh", 4, "total_curtailment_mwh"),
-        _rounded(F.avg, "soc_pct", 2, "avg_soc_pct"),
-        _rounded(F.sum, "charge_mwh", 4, "total_charge_mwh"),
-        _rounded(F.sum, "discharge_mwh", 4, "total_discharge_mwh"),
-        _rounded(F.sum, "fuel_mmbtu", 4, "total_fuel_mmbtu"),
-        _rounded(F.avg, "heat_rate_btu_kwh", 2, "avg_heat_rate_btu_kwh"),
-        _rounded(F.sum, "co2_tonnes", 4, "total_co2_tonnes"),
-        _rounded(F.avg, "gross_generation_mwh", 4, "avg_hourly_gross_mwh"),
-        _rounded(F.avg, "net_generation_mwh", 4, "avg_hourly_net_mwh"),
-        _rounded(F.max, "net_generation_mwh", 4, "peak_hourly_net_mwh"),
-        capacity_factor(net, F.max("asset_capacity_mw"), 24.0).alias("daily_capacity_factor"),
-        _rounded(F.avg, "capacity_factor", 4, "avg_hourly_capacity_factor"),
-        _rounded(F.avg, "availability_pct", 2, "avg_availability_pct"),
-        _rounded(F.min, "availability_pct", 2, "min_availability_pct"),
-        round_dec(ratio(gross - net, gross) * 100, 2).alias("daily_loss_percentage"),
-        round_dec(ratio(F.sum("curtailment_mwh"), gross) * 100, 2).alias(
+        round_dec("sum(gross_generation_mwh)", 4).alias("total_gross_generation_mwh"),
+        round_dec("sum(net_generation_mwh)", 4).alias("total_net_generation_mwh"),
+        round_dec("sum(curtailment_mwh)", 4).alias("total_curtailment_mwh"),
+        round_dec("avg(soc_pct)", 2).alias("avg_soc_pct"),
+        round_dec("sum(charge_mwh)", 4).alias("total_charge_mwh"),
+        round_dec("sum(discharge_mwh)", 4).alias("total_discharge_mwh"),
+        round_dec("sum(fuel_mmbtu)", 4).alias("total_fuel_mmbtu"),
+        round_dec("avg(heat_rate_btu_kwh)", 2).alias("avg_heat_rate_btu_kwh"),
+        round_dec("sum(co2_tonnes)", 4).alias("total_co2_tonnes"),
+        round_dec("avg(gross_generation_mwh)", 4).alias("avg_hourly_gross_mwh"),
+        round_dec("avg(net_generation_mwh)", 4).alias("avg_hourly_net_mwh"),
+        round_dec("max(net_generation_mwh)", 4).alias("peak_hourly_net_mwh"),
+        capacity_factor("sum(net_generation_mwh)", "max(asset_capacity_mw)", 24.0).alias(
+            "daily_capacity_factor"
+        ),
+        round_dec("avg(capacity_factor)", 4).alias("avg_hourly_capacity_factor"),
+        round_dec("avg(availability_pct)", 2).alias("avg_availability_pct"),
+        round_dec("min(availability_pct)", 2).alias("min_availability_pct"),
+        round_dec(
+            "try_divide(sum(gross_generation_mwh) - sum(net_generation_mwh), "
+            "sum(gross_generation_mwh)) * 100",
+            2,
+        ).alias("daily_loss_percentage"),
+        round_dec("try_divide(sum(curtailment_mwh), sum(gross_generation_mwh)) * 100", 2).alias(
             "daily_curtailment_percentage"
         ),
-        F.count(F.lit(1)).alias("total_hours"),
-        count_when(F.col("net_generation_mwh") > 0).alias("generating_hours"),
-        count_when(F.col("capacity_factor") > 0.5).alias("high_output_hours"),
-        count_when(category == "Excellent").alias("excellent_hours"),
-        count_when(category == "Good").alias("good_hours"),
-        count_when(category == "Fair").alias("fair_hours"),
-        count_when(category == "Poor").alias("poor_hours"),
-        valid.alias("valid_observation_count"),
-        count_when(F.col("is_zero_generation_anomaly")).alias("zero_generation_anomaly_count"),
-        count_when(F.col("meets_availability_target")).alias("hours_meeting_availability_target"),
-        round_dec(valid / F.count(F.lit(1)) * 100, 2).alias("data_validity_pct"),
+        F.count("*").alias("total_hours"),
+        F.count_if(F.col("net_generation_mwh") > 0).alias("generating_hours"),
+        F.count_if(F.col("capacity_factor") > 0.5).alias("high_output_hours"),
+        F.count_if(category == "Excellent").alias("excellent_hours"),
+        F.count_if(category == "Good").alias("good_hours"),
+        F.count_if(category == "Fair").alias("fair_hours"),
+        F.count_if(category == "Poor").alias("poor_hours"),
+        F.count_if("is_data_valid").alias("valid_observation_count"),
+        F.count_if("is_zero_generation_anomaly").alias("zero_generation_anomaly_count"),
+        F.count_if("meets_availability_target").alias("hours_meeting_availability_target"),
+        round_dec("count_if(is_data_valid) / count(*) * 100", 2).alias("data_validity_pct"),
         F.min("timestamp").alias("first_generation_timestamp"),
         F.max("timestamp").alias("last_generation_timestamp"),
     )
@@ -62,28 +62,30 @@ def int_generation_daily(hourly: DataFrame) -> DataFrame:
 
 def int_weather_daily(hourly: DataFrame) -> DataFrame:
     """Weather statistics, completeness and wind and daylight hours per asset and day."""
-    complete = count_when(F.col("is_data_complete"))
-    peak_sun = F.when(F.col("hour_of_day").between(10, 16), F.col("ghi"))
     return hourly.groupBy(*DAY_KEYS).agg(
-        _rounded(F.avg, "wind_speed_mps", 2, "avg_wind_speed_mps"),
-        _rounded(F.max, "wind_speed_mps", 2, "max_wind_speed_mps"),
-        _rounded(F.min, "wind_speed_mps", 2, "min_wind_speed_mps"),
-        _rounded(F.stddev_samp, "wind_speed_mps", 2, "std_wind_speed_mps"),
-        _rounded(F.avg, "ghi", 2, "avg_ghi"),
-        _rounded(F.max, "ghi", 2, "max_ghi"),
-        _rounded(F.sum, "ghi", 2, "total_ghi"),
-        _rounded(F.avg, "temperature_c", 2, "avg_temperature_c"),
-        _rounded(F.max, "temperature_c", 2, "max_temperature_c"),
-        _rounded(F.min, "temperature_c", 2, "min_temperature_c"),
-        _rounded(F.avg, "pressure_hpa", 1, "avg_pressure_hpa"),
-        _rounded(F.avg, "relative_humidity", 1, "avg_relative_humidity"),
-        F.count(F.lit(1)).alias("observation_count"),
-        complete.alias("complete_observation_count"),
-        round_dec(complete / F.count(F.lit(1)) * 100, 2).alias("data_completeness_pct"),
-        round_dec(F.avg(peak_sun), 2).alias("avg_peak_ghi"),
-        count_when(F.col("wind_speed_category") == "Strong").alias("strong_wind_hours"),
-        count_when(F.col("wind_speed_category") == "Very Strong").alias("very_strong_wind_hours"),
-        count_when(F.col("ghi") > 0).alias("daylight_hours"),
+        round_dec("avg(wind_speed_mps)", 2).alias("avg_wind_speed_mps"),
+        round_dec("max(wind_speed_mps)", 2).alias("max_wind_speed_mps"),
+        round_dec("min(wind_speed_mps)", 2).alias("min_wind_speed_mps"),
+        round_dec("stddev_samp(wind_speed_mps)", 2).alias("std_wind_speed_mps"),
+        round_dec("avg(ghi)", 2).alias("avg_ghi"),
+        round_dec("max(ghi)", 2).alias("max_ghi"),
+        round_dec("sum(ghi)", 2).alias("total_ghi"),
+        round_dec("avg(temperature_c)", 2).alias("avg_temperature_c"),
+        round_dec("max(temperature_c)", 2).alias("max_temperature_c"),
+        round_dec("min(temperature_c)", 2).alias("min_temperature_c"),
+        round_dec("avg(pressure_hpa)", 1).alias("avg_pressure_hpa"),
+        round_dec("avg(relative_humidity)", 1).alias("avg_relative_humidity"),
+        F.count("*").alias("observation_count"),
+        F.count_if("is_data_complete").alias("complete_observation_count"),
+        round_dec("count_if(is_data_complete) / count(*) * 100", 2).alias(
+            "data_completeness_pct"
+        ),
+        round_dec("avg(CASE WHEN hour_of_day BETWEEN 10 AND 16 THEN ghi END)", 2).alias(
+            "avg_peak_ghi"
+        ),
+        F.count_if(F.col("wind_speed_category") == "Strong").alias("strong_wind_hours"),
+        F.count_if(F.col("wind_speed_category") == "Very Strong").alias("very_strong_wind_hours"),
+        F.count_if(F.col("ghi") > 0).alias("daylight_hours"),
         F.min("timestamp").alias("first_observation_timestamp"),
         F.max("timestamp").alias("last_observation_timestamp"),
     )
@@ -111,7 +113,7 @@ def mart_asset_performance_daily(
         "avg_availability_pct", "min_availability_pct",
         "daily_loss_percentage", "daily_curtailment_percentage",
         "total_hours", "generating_hours", "high_output_hours",
-        round_dec(ratio("generating_hours", "total_hours") * 100, 2).alias(
+        round_dec("try_divide(generating_hours, total_hours) * 100", 2).alias(
             "generating_hours_pct"
         ),
         "excellent_hours", "good_hours", "fair_hours", "poor_hours",

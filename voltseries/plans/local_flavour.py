@@ -15,7 +15,6 @@ from voltseries.functions.calendar import day_of
 from voltseries.functions.engineering import BATTERY_ROUND_TRIP_EFFICIENCY, GAS_DEFAULTS
 from voltseries.functions.numeric import (
     clamp,
-    count_when,
     linear_fit,
     nan_to_null,
     ratio,
@@ -43,10 +42,10 @@ def daily_frame_observed_hours(generation: DataFrame, weather: DataFrame) -> Dat
         _sum0("curtailment_mwh").alias("total_curtailment_mwh"),
         F.avg("availability_pct").alias("avg_availability_pct"),
         F.count(F.lit(1)).alias("observed_hours"),
-        count_when(rating == "Excellent").alias("excellent_hours"),
-        count_when(rating == "Good").alias("good_hours"),
-        count_when(rating == "Fair").alias("fair_hours"),
-        count_when(rating == "Poor").alias("poor_hours"),
+        F.count_if(rating == "Excellent").alias("excellent_hours"),
+        F.count_if(rating == "Good").alias("good_hours"),
+        F.count_if(rating == "Fair").alias("fair_hours"),
+        F.count_if(rating == "Poor").alias("poor_hours"),
         F.avg("soc_pct").alias("avg_soc_pct"),
         _sum0("charge_mwh").alias("total_charge_mwh"),
         _sum0("discharge_mwh").alias("total_discharge_mwh"),

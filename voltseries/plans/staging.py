@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from voltseries.functions import categories as cat
 from voltseries.functions.calendar import day_of, staging_time_parts
-from voltseries.functions.numeric import capacity_factor, ratio, round_dec
+from voltseries.functions.numeric import capacity_factor, round_dec
 from voltseries.operators.dedup import LOAD_ID, keep_latest
 
 # Digits kept per measurement.
@@ -58,7 +58,7 @@ def stg_weather(raw: DataFrame, distinct: bool = False) -> DataFrame:
     out = rows.select(
         "timestamp",
         "asset_id",
-        *[round_dec(F.col(c).cast("double"), n).alias(c) for c, n in WEATHER_DIGITS.items()],
+        *[round_dec(f"CAST({c} AS DOUBLE)", n).alias(c) for c, n in WEATHER_DIGITS.items()],
         *staging_time_parts("timestamp"),
         "date",
         cat.wind_speed_category(wind).alias("wind_speed_category"),
@@ -78,18 +78,27 @@ def stg_generation(
     rows = _latest(raw, ["asset_type", *GENERATION_DIGITS])
     gross, net = F.col("gross_generation_mwh"), F.col("net_generation_mwh")
     cap, avail = F.col("asset_capacity_mw"), F.col("availability_pct")
-    cf = capacity_factor(net, cap)
+    cf = F.col("capacity_factor")
+    rows = rows.withColumn(
+        "capacity_factor", capacity_factor("net_generation_mwh", "asset_capacity_mw")
+    )
     return rows.select(
         "timestamp",
         "asset_id",
         F.col("asset_type").cast("string").alias("asset_type"),
-        *[round_dec(F.col(c).cast("double"), n).alias(c) for c, n in GENERATION_DIGITS.items()],
+        *[round_dec(f"CAST({c} AS DOUBLE)", n).alias(c) for c, n in GENERATION_DIGITS.items()],
         *staging_time_parts("timestamp"),
         "date",
-        cf.alias("capacity_factor"),
-        round_dec(ratio(gross - net, gross) * 100, 2).alias("loss_percentage"),
-        round_dec(ratio("curtailment_mwh", gross) * 100, 2).alias("curtailment_percentage"),
-        round_dec(ratio(net, cap), 4).alias("hours_at_capacity"),
+        cf,
+        round_dec(
+            "try_divide(gross_generation_mwh - net_generation_mwh, gross_generation_mwh) * 100", 2
+        ).alias("loss_percentage"),
+        round_dec("try_divide(curtailment_mwh, gross_generation_mwh) * 100", 2).alias(
+            "curtailment_percentage"
+        ),
+        round_dec("try_divide(net_generation_mwh, asset_capacity_mw)", 4).alias(
+            "hours_at_capacity"
+        ),
         cat.size_category(cap).alias("asset_size_category"),
         cat.hourly_performance(cf).alias("performance_category"),
         cat.meets_availability(avail, min_availability_pct).alias("meets_availability_target"),

@@ -32,10 +32,10 @@ def asset_models(hours: DataFrame) -> DataFrame:
         F.max("asset_type").alias("asset_type"),
         F.max("asset_capacity_mw").alias("asset_capacity_mw"),
         F.count(F.lit(1)).alias("total_observations"),
-        round_dec(F.avg(NET), 4).alias("avg_net_generation_mwh"),
-        round_dec(F.avg(CF), 4).alias("avg_capacity_factor"),
-        round_dec(F.avg(WIND), 2).alias("avg_wind_speed_mps"),
-        round_dec(F.avg(SUN), 2).alias("avg_ghi"),
+        round_dec(f"avg({NET})", 4).alias("avg_net_generation_mwh"),
+        round_dec(f"avg({CF})", 4).alias("avg_capacity_factor"),
+        round_dec(f"avg({WIND})", 2).alias("avg_wind_speed_mps"),
+        round_dec(f"avg({SUN})", 2).alias("avg_ghi"),
         round_dec(safe_corr(WIND, NET), 4).alias("wind_generation_correlation"),
         round_dec(safe_corr(SUN, NET), 4).alias("solar_generation_correlation"),
         round_dec(safe_corr(WIND, CF), 4).alias("wind_cf_correlation"),
@@ -50,7 +50,8 @@ def asset_models(hours: DataFrame) -> DataFrame:
 
 
 def _line(driver: str, intercept: str, slope: str) -> Column:
-    return round_dec(clamp(F.col(intercept) + F.col(slope) * F.col(driver), low=0), 4)
+    line = f"{intercept} + {slope} * {driver}"
+    return round_dec(f"CASE WHEN ({line}) IS NOT NULL THEN greatest({line}, 0D) END", 4)
 
 
 def expected_generation(hours: DataFrame, models: DataFrame) -> DataFrame:
@@ -78,7 +79,8 @@ def expected_generation(hours: DataFrame, models: DataFrame) -> DataFrame:
             ),
         )
         .withColumn(
-            "performance_ratio_pct", round_dec(ratio(NET, "expected_generation_mwh") * 100, 2)
+            "performance_ratio_pct",
+            round_dec(f"try_divide({NET}, expected_generation_mwh) * 100", 2),
         )
     )
 
@@ -108,12 +110,12 @@ def daily_scores(hours: DataFrame, models: DataFrame) -> DataFrame:
         F.max("asset_type").alias("asset_type"),
         *[F.max(c).alias(c) for c in numeric],
         F.count(F.lit(1)).alias("hourly_observations"),
-        round_dec(F.avg(NET), 4).alias("daily_avg_net_generation_mwh"),
-        round_dec(F.sum(NET), 4).alias("daily_total_net_generation_mwh"),
-        round_dec(F.avg(CF), 4).alias("daily_avg_capacity_factor"),
-        round_dec(F.avg("expected_generation_mwh"), 4).alias("avg_expected_generation_mwh"),
-        round_dec(F.avg(NET), 4).alias("avg_actual_generation_mwh"),
-        round_dec(F.avg("performance_ratio_pct"), 2).alias("avg_performance_ratio_pct"),
+        round_dec(f"avg({NET})", 4).alias("daily_avg_net_generation_mwh"),
+        round_dec(f"sum({NET})", 4).alias("daily_total_net_generation_mwh"),
+        round_dec(f"avg({CF})", 4).alias("daily_avg_capacity_factor"),
+        round_dec("avg(expected_generation_mwh)", 4).alias("avg_expected_generation_mwh"),
+        round_dec(f"avg({NET})", 4).alias("avg_actual_generation_mwh"),
+        round_dec("avg(performance_ratio_pct)", 2).alias("avg_performance_ratio_pct"),
         F.sum("charge_mwh").alias("total_charge_mwh"),
         F.sum("discharge_mwh").alias("total_discharge_mwh"),
         F.min("heat_rate_btu_kwh").alias("min_heat_rate"),

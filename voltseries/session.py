@@ -15,6 +15,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Stack capture per column call; it only slows down building wide plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -7,10 +7,7 @@ it, so repeated (asset, hour) pairs are re-loads of the same record.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from voltseries.functions.calendar import hour_start
+from pyspark.sql import DataFrame, SparkSession
 
 
 
@@ -18,80 +15,70 @@ def read_events(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/events.parquet")
 
 
-def _asset_id() -> Column:
-    text = F.col("user_id").cast("string")
-    return F.concat(F.lit("ASSET_"), F.lpad(text, F.greatest(F.lit(4), F.length(text)), F.lit("0")))
-
-
-def _technology(user: Column) -> Column:
-    kind = user % 4
-    return (
-        F.when(kind == 0, "wind").when(kind == 1, "solar").when(kind == 2, "battery")
-        .otherwise("gas")
-    )
-
-
-def _capacity(user: Column) -> Column:
-    return F.lit(40.0) + F.lit(20.0) * (user % 5)
+# The mapping, as SQL expressions. Double literals keep the arithmetic in doubles.
+_ASSET_ID = (
+    "concat('ASSET_', lpad(CAST(user_id AS STRING), "
+    "greatest(4, length(CAST(user_id AS STRING))), '0'))"
+)
+_HOUR = "make_timestamp_ntz(year(ts), month(ts), dayofmonth(ts), hour(ts), 0, 0)"
+_KIND = (
+    "CASE user_id % 4 WHEN 0 THEN 'wind' WHEN 1 THEN 'solar' WHEN 2 THEN 'battery' "
+    "ELSE 'gas' END"
+)
+_CAPACITY = "40D + 20D * (user_id % 5)"
+_ENERGY = f"least(value, {_CAPACITY})"
+_BATTERY, _GAS, _CHARGING = "user_id % 4 = 2", "user_id % 4 = 3", "event_id % 2 = 0"
 
 
 def generation_frame(events: DataFrame) -> DataFrame:
-    u, e = F.col("user_id"), F.col("event_id")
-    cap = _capacity(u)
-    energy = F.least(F.col("value"), cap)
-    battery, gas, charging = u % 4 == 2, u % 4 == 3, e % 2 == 0
-    fuel = F.lit(7.0) * F.col("value")
-    return events.select(
-        hour_start("ts").alias("timestamp"),
-        _asset_id().alias("asset_id"),
-        _technology(u).alias("asset_type"),
-        F.when(battery & charging, F.lit(0.0)).otherwise(energy).alias("gross_generation_mwh"),
-        F.when(battery & charging, -energy)
-        .when(e % 61 == 0, F.lit(None).cast("double"))
-        .otherwise(energy * (F.lit(1.0) - F.lit(0.02) * (e % 5)))
-        .alias("net_generation_mwh"),
-        (F.lit(0.05) * (e % 3)).alias("curtailment_mwh"),
-        (F.lit(80.0) + e % 21).alias("availability_pct"),
-        cap.alias("asset_capacity_mw"),
-        F.when(battery, F.lit(10.0) + e % 86).alias("soc_pct"),
-        F.when(battery, F.when(charging, energy).otherwise(F.lit(0.0))).alias("charge_mwh"),
-        F.when(battery, F.when(charging, F.lit(0.0)).otherwise(energy)).alias("discharge_mwh"),
-        F.when(gas, fuel).alias("fuel_mmbtu"),
-        F.when(gas, F.lit(6900.0) + F.lit(10.0) * (e % 90)).alias("heat_rate_btu_kwh"),
-        F.when(gas, F.lit(0.37) * F.col("value")).alias("co2_tonnes"),
-        e.alias("_load_id"),
+    return events.selectExpr(
+        f"{_HOUR} AS timestamp",
+        f"{_ASSET_ID} AS asset_id",
+        f"{_KIND} AS asset_type",
+        f"CASE WHEN {_BATTERY} AND {_CHARGING} THEN 0D ELSE {_ENERGY} END "
+        "AS gross_generation_mwh",
+        f"CASE WHEN {_BATTERY} AND {_CHARGING} THEN -{_ENERGY} WHEN event_id % 61 = 0 THEN NULL "
+        f"ELSE {_ENERGY} * (1D - 0.02D * (event_id % 5)) END AS net_generation_mwh",
+        "0.05D * (event_id % 3) AS curtailment_mwh",
+        "80D + event_id % 21 AS availability_pct",
+        f"{_CAPACITY} AS asset_capacity_mw",
+        f"CASE WHEN {_BATTERY} THEN 10D + event_id % 86 END AS soc_pct",
+        f"CASE WHEN {_BATTERY} THEN CASE WHEN {_CHARGING} THEN {_ENERGY} ELSE 0D END END "
+        "AS charge_mwh",
+        f"CASE WHEN {_BATTERY} THEN CASE WHEN {_CHARGING} THEN 0D ELSE {_ENERGY} END END "
+        "AS discharge_mwh",
+        f"CASE WHEN {_GAS} THEN 7D * value END AS fuel_mmbtu",
+        f"CASE WHEN {_GAS} THEN 6900D + 10D * (event_id % 90) END AS heat_rate_btu_kwh",
+        f"CASE WHEN {_GAS} THEN 0.37D * value END AS co2_tonnes",
+        "event_id AS _load_id",
     )
 
 
 def weather_frame(events: DataFrame) -> DataFrame:
-    e, v = F.col("event_id"), F.col("value")
-    return events.select(
-        hour_start("ts").alias("timestamp"),
-        _asset_id().alias("asset_id"),
-        F.when(e % 53 != 0, F.lit(0.06) * v + F.lit(0.01) * (e % 700)).alias("wind_speed_mps"),
-        (e % 360).cast("double").alias("wind_direction_deg"),
-        F.when(F.hour("ts").between(6, 18), F.lit(2.0) * v + e % 200)
-        .otherwise(F.lit(0.0))
-        .alias("ghi"),
-        (F.lit(-5.0) + e % 40).alias("temperature_c"),
-        (F.lit(980.0) + e % 60).alias("pressure_hpa"),
-        (F.lit(20.0) + e % 75).alias("relative_humidity"),
-        (e % 101).cast("double").alias("cloud_cover_pct"),
-        e.alias("_load_id"),
+    return events.selectExpr(
+        f"{_HOUR} AS timestamp",
+        f"{_ASSET_ID} AS asset_id",
+        "CASE WHEN event_id % 53 <> 0 THEN 0.06D * value + 0.01D * (event_id % 700) END "
+        "AS wind_speed_mps",
+        "CAST(event_id % 360 AS DOUBLE) AS wind_direction_deg",
+        "CASE WHEN hour(ts) BETWEEN 6 AND 18 THEN 2D * value + event_id % 200 ELSE 0D END AS ghi",
+        "-5D + event_id % 40 AS temperature_c",
+        "980D + event_id % 60 AS pressure_hpa",
+        "20D + event_id % 75 AS relative_humidity",
+        "CAST(event_id % 101 AS DOUBLE) AS cloud_cover_pct",
+        "event_id AS _load_id",
     )
 
 
 def asset_frame(events: DataFrame) -> DataFrame:
     """One row per asset, in the columns of the asset dimension file."""
-    u = F.col("user_id")
-    zone = u % 4
-    return events.select("user_id").distinct().select(
-        _asset_id().alias("asset_id"),
-        F.concat(F.lit("Site "), u.cast("string")).alias("asset_name"),
-        _technology(u).alias("asset_type"),
-        _capacity(u).alias("capacity_mw"),
-        (F.lit(25.0) + u % 25).alias("latitude"),
-        (F.lit(-120.0) + u % 50).alias("longitude"),
-        F.when(zone == 0, "ERCOT").when(zone == 1, "MISO").when(zone == 2, "WECC")
-        .otherwise("CAISO").alias("region"),
+    return events.select("user_id").distinct().selectExpr(
+        f"{_ASSET_ID} AS asset_id",
+        "concat('Site ', user_id) AS asset_name",
+        f"{_KIND} AS asset_type",
+        f"{_CAPACITY} AS capacity_mw",
+        "25D + user_id % 25 AS latitude",
+        "-120D + user_id % 50 AS longitude",
+        "CASE user_id % 4 WHEN 0 THEN 'ERCOT' WHEN 1 THEN 'MISO' WHEN 2 THEN 'WECC' "
+        "ELSE 'CAISO' END AS region",
     )
