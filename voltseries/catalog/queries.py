@@ -611,16 +611,23 @@ def metric_weather_adjusted_score(f: Fleet) -> DataFrame:
 
 @_query
 def metric_measures(f: Fleet) -> DataFrame:
-    """All measures of both models in total, one row."""
-    out = None
+    """All measures of both models in total, a row each; one pass per model."""
+    parts = []
     for name, model in metrics.MODELS.items():
-        for measure in model["measures"]:
-            row = metrics.query_metric(f.marts, measure).select(
-                F.lit(name).alias("model"), F.lit(measure).alias("measure"),
-                F.col(measure).alias("value"),
-            )
-            out = row if out is None else out.unionByName(row)
-    return rounded(out)
+        measures = list(model["measures"])
+        totals = metrics.query_metric(f.marts, measures)
+        entries = F.array(
+            *[
+                F.struct(
+                    F.lit(name).alias("model"),
+                    F.lit(m).alias("measure"),
+                    F.col(m).alias("value"),
+                )
+                for m in measures
+            ]
+        )
+        parts.append(totals.select(F.inline(entries)))
+    return rounded(parts[0].unionByName(parts[1]))
 
 
 @_query

@@ -20,20 +20,22 @@ def round_dec(c: Column | str, digits: int) -> Column:
     plain double arithmetic, which is several times faster. Text is read as a SQL
     expression.
     """
+    # Near a tie is within 1e-6 of it, or within what the product may be off.
+    # Adding 0.0 turns -0.0 into 0.0.
     if isinstance(c, str):
-        scaled = f"({c}) * {10.0**digits:.0f}D"
+        factor = f"{10.0**digits:.0f}D"
+        scaled = f"({c}) * {factor}"
         return F.expr(
-            f"CASE WHEN abs({scaled}) < 1e9D AND abs({scaled} - rint({scaled})) < 0.499999D "
-            f"THEN rint({scaled}) / {10.0**digits:.0f}D + 0D "
+            f"CASE WHEN abs({scaled} - rint({scaled})) + abs({scaled}) * 1e-15D < 0.499999D "
+            f"THEN rint({scaled}) / {factor} + 0D "
             f"ELSE CAST(round(try_cast(({c}) AS {_WIDE}), {digits}) AS DOUBLE) END"
         )
-    scale = F.lit(10.0**digits)
-    scaled = c * scale
+    factor = F.lit(10.0**digits)
+    scaled = c * factor
     nearest = F.rint(scaled)
-    clear = (F.abs(scaled) < 1e9) & (F.abs(scaled - nearest) < 0.499999)
+    clear = F.abs(scaled - nearest) + F.abs(scaled) * F.lit(1e-15) < 0.499999
     exact = F.round(c.try_cast(_WIDE), digits).cast("double")
-    # Adding 0.0 turns -0.0 into 0.0.
-    return F.when(clear, nearest / scale + F.lit(0.0)).otherwise(exact)
+    return F.when(clear, nearest / factor + F.lit(0.0)).otherwise(exact)
 
 
 def nan_to_null(c: Column | str) -> Column:

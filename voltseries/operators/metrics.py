@@ -68,16 +68,21 @@ def time_bucket(day: Column, grain: str) -> Column:
 
 def query_metric(
     marts: Mapping[str, DataFrame],
-    metric: str,
+    metric: str | Sequence[str],
     group_by: Sequence[str] = (),
     grain: str | None = None,
     where: Column | str | None = None,
 ) -> DataFrame:
-    """A metric (or measure) by dimensions, optionally per time bucket, filtered.
+    """Metrics (or measures) by dimensions, optionally per time bucket, filtered.
 
-    The time bucket comes out under the name of the model's time dimension.
+    Several metrics of one model share one pass. The time bucket comes out under
+    the name of the model's time dimension.
     """
-    model, how, column = _model_of(METRICS.get(metric, metric))
+    names = [metric] if isinstance(metric, str) else list(metric)
+    found = {name: _model_of(METRICS.get(name, name)) for name in names}
+    model = found[names[0]][0]
+    if any(m is not model for m, _, _ in found.values()):
+        raise KeyError(f"{names} belong to different models")
     rows = marts[model["table"]]
     if where is not None:
         rows = rows.filter(where)
@@ -87,10 +92,10 @@ def query_metric(
         keys.append(time_bucket(F.col(time_column), grain).alias(name))
     for dimension in group_by:
         if dimension not in model["dimensions"]:
-            raise KeyError(f"{metric} has no dimension {dimension}")
+            raise KeyError(f"{names} have no dimension {dimension}")
         keys.append(F.col(model["dimensions"][dimension]).alias(dimension))
-    value = _AGGREGATES[how](column).alias(metric)
-    return rows.groupBy(*keys).agg(value) if keys else rows.agg(value)
+    values = [_AGGREGATES[how](column).alias(name) for name, (_, how, column) in found.items()]
+    return rows.groupBy(*keys).agg(*values) if keys else rows.agg(*values)
 
 
 def on_spine(metric: DataFrame, spine: DataFrame, time_column: str) -> DataFrame:

@@ -16,6 +16,7 @@ from voltseries.operators.dedup import LOAD_ID, keep_latest
 from voltseries.session import scratch_path
 
 WARMUP_DAYS = 7
+FILE_ORDER = ("date", "asset_id", "timestamp")
 
 
 def read_landing(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -27,12 +28,12 @@ def read_landing(spark: SparkSession, path: str, schema: T.StructType | None = N
 def save_landing(df: DataFrame, path: str, partition_by_date: bool = True) -> None:
     """Snappy Parquet, one folder per date of ``timestamp`` or a plain table.
 
-    Rows are spread by (date, asset), so a day is written by many tasks and each
-    asset's day lands in one file.
+    Rows are spread by ranges of (date, asset, hour): a large day is written by many
+    tasks, and a task writes few days, so the file count stays near the task count.
     """
     if partition_by_date:
-        dated = df.withColumn("date", day_of("timestamp")).repartition("date", "asset_id")
-        writer = dated.write.partitionBy("date")
+        dated = df.withColumn("date", day_of("timestamp"))
+        writer = dated.repartitionByRange(*FILE_ORDER).write.partitionBy("date")
     else:
         writer = df.write
     writer.mode("overwrite").option("compression", "snappy").parquet(path)
@@ -91,9 +92,9 @@ def merge_latest(
     return keep_latest(base.unionByName(batch, allowMissingColumns=True), keys, version)
 
 
-def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+def _read_if_there(spark: SparkSession, *paths: str, **options: str) -> DataFrame | None:
     try:
-        return spark.read.option("mergeSchema", "true").parquet(path)
+        return spark.read.options(**options).parquet(*paths)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -115,29 +116,35 @@ def upsert(
     it as it was, and a repeated run gives the same table.
     """
     batch = batch.withColumn("date", day_of("timestamp"))
-    base = _read_if_there(spark, path)
-    added = added_columns(base, batch) if base is not None else []
     # One value per calendar day: bounded by the calendar, not by the rows.
-    days = [r["date"] for r in batch.select("date").distinct().collect()]
+    days = [str(r["date"]) for r in batch.select("date").distinct().collect()]
     if not days:
         return []
+    table = _read_if_there(spark, path)
+    # Schemas are merged over the touched days only, not over every file.
+    touched = _read_if_there(
+        spark, f"{path}/date={{{','.join(days)}}}", basePath=path, mergeSchema="true"
+    )
     keys = ["date", *[k for k in keys if k != "date"]]
-    if base is None:
+    if touched is None:
         merged = keep_latest(batch, keys, version)
     else:
-        merged = merge_latest(base.filter(F.col("date").isin(days)), batch, keys, version)
+        merged = merge_latest(touched, batch, keys, version)
     staged = scratch_path(spark, "upsert")
     merged.write.partitionBy("date").parquet(staged)
     (
         spark.read.schema(merged.schema).parquet(staged)
-        .repartition("date", "asset_id")
+        .repartitionByRange(*FILE_ORDER)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
         .partitionBy("date")
         .parquet(path)
     )
-    return added
+    if table is None:
+        return []
+    known = {*table.columns, *(touched.columns if touched is not None else ())}
+    return [c for c in batch.columns if c not in known]
 
 
 def day_partition(df: DataFrame, day: str | dt.date, partition_col: str | None = None) -> DataFrame:
