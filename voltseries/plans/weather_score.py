@@ -99,15 +99,15 @@ MODEL_COLUMNS = (
 def daily_scores(hours: DataFrame, models: DataFrame) -> DataFrame:
     """Everything the mart needs per asset and day, from one pass over the hours.
 
-    The model columns are constant within an asset and ride along as maxima, so the
-    models need not be computed or joined a second time.
+    The model columns are constant within an asset and ride along, the numbers as
+    maxima and the technology as a key, so the models need not be computed or joined
+    a second time. Without text among the maxima Spark can aggregate by hash.
     """
     numeric = [c for c in MODEL_COLUMNS if c != "asset_type"]
     scored = expected_generation(
         hours.drop("asset_type", "asset_capacity_mw"), models.select("asset_id", *MODEL_COLUMNS)
     )
-    days = scored.groupBy("asset_id", "date").agg(
-        F.max("asset_type").alias("asset_type"),
+    days = scored.groupBy("asset_id", "date", "asset_type").agg(
         *[F.max(c).alias(c) for c in numeric],
         F.count(F.lit(1)).alias("hourly_observations"),
         round_dec(f"avg({NET})", 4).alias("daily_avg_net_generation_mwh"),

@@ -15,9 +15,6 @@ RECOMMENDED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
-    # HotSpot does not compile methods above 8000 bytecodes. Wide rounding projections
-    # can get there; below this limit Spark splits them instead of fusing the stage.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Stack capture per column call; it only slows down building wide plans.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
