@@ -78,10 +78,25 @@ def stg_generation(
     rows = _latest(raw, ["asset_type", *GENERATION_DIGITS])
     gross, net = F.col("gross_generation_mwh"), F.col("net_generation_mwh")
     cap, avail = F.col("asset_capacity_mw"), F.col("availability_pct")
-    cf = F.col("capacity_factor")
-    rows = rows.withColumn(
-        "capacity_factor", capacity_factor("net_generation_mwh", "asset_capacity_mw")
+    # A step of its own, so that the code generated for each step stays small enough
+    # to be compiled.
+    rows = rows.withColumns(
+        {
+            "capacity_factor": capacity_factor("net_generation_mwh", "asset_capacity_mw"),
+            "loss_percentage": round_dec(
+                "try_divide(gross_generation_mwh - net_generation_mwh, gross_generation_mwh)"
+                " * 100",
+                2,
+            ),
+            "curtailment_percentage": round_dec(
+                "try_divide(curtailment_mwh, gross_generation_mwh) * 100", 2
+            ),
+            "hours_at_capacity": round_dec(
+                "try_divide(net_generation_mwh, asset_capacity_mw)", 4
+            ),
+        }
     )
+    cf = F.col("capacity_factor")
     return rows.select(
         "timestamp",
         "asset_id",
@@ -89,16 +104,10 @@ def stg_generation(
         *[round_dec(f"CAST({c} AS DOUBLE)", n).alias(c) for c, n in GENERATION_DIGITS.items()],
         *staging_time_parts("timestamp"),
         "date",
-        cf,
-        round_dec(
-            "try_divide(gross_generation_mwh - net_generation_mwh, gross_generation_mwh) * 100", 2
-        ).alias("loss_percentage"),
-        round_dec("try_divide(curtailment_mwh, gross_generation_mwh) * 100", 2).alias(
-            "curtailment_percentage"
-        ),
-        round_dec("try_divide(net_generation_mwh, asset_capacity_mw)", 4).alias(
-            "hours_at_capacity"
-        ),
+        "capacity_factor",
+        "loss_percentage",
+        "curtailment_percentage",
+        "hours_at_capacity",
         cat.size_category(cap).alias("asset_size_category"),
         cat.hourly_performance(cf).alias("performance_category"),
         cat.meets_availability(avail, min_availability_pct).alias("meets_availability_target"),
