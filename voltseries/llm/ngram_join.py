@@ -40,7 +40,7 @@ from voltseries.llm.shingles import list_array, shingle_sets
 CHUNK = 2_000_000  # shingles counted together when looking for common ones
 COMMON = 3  # a shingle in so many different texts of a chunk is ordered last
 MAX_COMMON = 500_000  # at most so many are sent to the executors: 4 MB; affects speed only
-FILTER_BITS = 1 << 22
+FILTER_BITS = 1 << 24
 
 
 def _common_in_chunks(words: int):
@@ -123,24 +123,32 @@ def _set_rows(words: int):
     return run
 
 
-def _only(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Documents that may be in ``wanted`` (a column of ids), chosen before any shuffle.
+def _maybe_in(rows: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
+    """Rows whose number in ``column`` may be in ``wanted``, chosen without a shuffle.
 
-    The ids set bits of a map of fixed size; it has FILTER_BITS / 64 rows at most,
-    so it is broadcast whatever the number of ids.
+    The wanted numbers set bits of a map of FILTER_BITS. It has FILTER_BITS / 64 rows at
+    most (4 MB), so it is broadcast whatever the number of rows; a full map only lets
+    more rows through. Callers join exactly afterwards.
     """
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
-    cell, bit = F.floor(place / 64), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc_id), {FILTER_BITS}) % 64 as int))")
-    bits = wanted.select(cell.alias("cell"), bit.alias("bit")).groupBy("cell").agg(F.bit_or("bit").alias("bits"))
+    place = f"pmod(xxhash64({column}), {FILTER_BITS})"
+    cell, bit = f"{place} div 64", f"shiftleft(1L, cast({place} % 64 as int))"
+    bits = wanted.selectExpr(f"{cell} AS _cell", f"{bit} AS _bit").groupBy("_cell").agg(F.bit_or("_bit").alias("_bits"))
     return (
-        docs.filter(F.col("doc_id").isNotNull())
-        .select("doc_id", "text", cell.alias("cell"), bit.alias("bit"))
-        .join(F.broadcast(bits), "cell")
-        .filter(F.col("bits").bitwiseAND(F.col("bit")) != 0)
-        .select("doc_id", "text")
+        rows.withColumns({"_cell": F.expr(cell), "_bit": F.expr(bit)})
+        .join(F.broadcast(bits), "_cell")
+        .filter(F.col("_bits").bitwiseAND(F.col("_bit")) != 0)
+        .drop("_cell", "_bit", "_bits")
     )
 
 
+def _sets(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
+    """(vertex, shingles) of the documents in some pairs, and of few others."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
+    named = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "text")
+    found = _maybe_in(named, wanted, "doc_id").select("doc_id", "text")
+    return stored(found.mapInArrow(_set_rows(words), "vertex long, shingles array<long>"), "sets")
+
+
 def _needed(percent: int) -> Column:
     """Shared shingles that sets of n1 and n2 need at least."""
     return F.ceil(F.lit(percent) * (F.col("n1") + F.col("n2")) / F.lit(100 + percent))
@@ -203,25 +211,13 @@ def ngram_classes(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFra
     led = real.groupBy(*group_key).agg(F.min("doc_id").alias("g"), F.first("prefix").alias("prefix"))
     entries = led.select(F.explode("prefix").alias("h"), "g", "n")
     shared = entries.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h")
-    index = stored(entries.join(shared, "h", "left_semi"), "index")
-
-    inner = classes.filter("class_id <> g")
-    members = inner.select("class_id").unionByName(inner.select(F.col("g").alias("class_id")))
-    wanted = members.unionByName(index.select(F.col("g").alias("class_id"))).distinct()
-    wanted = stored(wanted.withColumnRenamed("class_id", "doc_id"), "wanted")
-    sets = stored(
-        _only(docs, wanted)
-        .mapInArrow(_set_rows(words), "vertex long, shingles array<long>")
-        .join(wanted.withColumnRenamed("doc_id", "vertex"), "vertex", "left_semi")
-        .distinct(),
-        "sets",
-    )
+    index = stored(_maybe_in(entries, shared, "h").join(shared, "h", "left_semi"), "index")
 
-    first = _star_pairs(classes, index, percent)
-    links = stored(verified(first, sets, percent), "links")
+    first = stored(_star_pairs(classes, index, percent), "pairs")
+    links = stored(verified(first, _sets(docs, first, words), percent), "links")
     labels = component_labels(links)
     rest = stored(_open_pairs(classes, index, labels, percent), "pairs")
-    more = verified(rest, sets, percent)
+    more = verified(rest, _sets(docs, rest, words), percent)
     joined = labels.select(F.col("vertex").alias("a"), F.col("component").alias("b")).unionByName(
         more.select("a", "b")
     )
@@ -231,8 +227,6 @@ def ngram_classes(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFra
         "set_hi", "set_lo", "class_id", F.coalesce("component", "class_id").alias("component_id")
     )
     rows = prepared.filter("n_shingles > 0 AND doc_id IS NOT NULL").join(named, ["set_hi", "set_lo"])
-    # A document whose own set differs from that of its id's other row keeps the
-    # component of the vertex.
     alone = prepared.filter("n_shingles = 0 OR doc_id IS NULL").select(
         "doc_id", "n_shingles", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id")
     )
