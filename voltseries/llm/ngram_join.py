@@ -11,9 +11,9 @@ Jaccard similarity of their sets is at least ``percent`` / 100.
 2. Only shingles in the prefixes of two groups enter the index.
 3. Star round: each index entry, and each group, links its members to its smallest
    one. The pairs are verified on the whole sets, and components are formed.
-4. Full round: what is left are pairs of groups that share an index entry and hold
-   different components. They are filtered by size and by the number of shared
-   prefix shingles, expanded to members, and verified. No candidate is cut off:
+4. Full round: what is left are pairs of components that share an index entry. They are
+   filtered by size and by the number of shared prefix shingles, expanded to the members
+   of their groups, and verified. No candidate is cut off:
    a pair is skipped only if its two ends are in one component already, or if the
    filters prove that it cannot link.
 
@@ -37,7 +37,7 @@ from voltseries.llm.common import stored
 from voltseries.llm.components import component_labels
 from voltseries.llm.shingles import list_array, shingle_sets
 
-CHUNK = 2_000_000  # shingles counted together when looking for common ones
+CHUNK = 1_000_000  # shingles counted together when looking for common ones
 COMMON = 3  # a shingle in so many different texts of a chunk is ordered last
 MAX_COMMON = 500_000  # at most so many are sent to the executors: 4 MB; affects speed only
 FILTER_BITS = 1 << 24
@@ -117,8 +117,9 @@ def _prepare(words: int, percent: int, common) -> object:
 def _set_rows(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = list_array(list(shingle_sets(batch.column(1), words)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), sets], ["vertex", "shingles"])
+            sets = list(shingle_sets(batch.column(1), words))
+            sizes = pa.array([len(s) for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, list_array(sets)], ["vertex", "n", "items"])
 
     return run
 
@@ -141,12 +142,10 @@ def _maybe_in(rows: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
     )
 
 
-def _sets(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
-    """(vertex, shingles) of the documents in some pairs, and of few others."""
+def _in_pairs(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Rows whose doc_id stands in some pair, and few others."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
-    named = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "text")
-    found = _maybe_in(named, wanted, "doc_id").select("doc_id", "text")
-    return stored(found.mapInArrow(_set_rows(words), "vertex long, shingles array<long>"), "sets")
+    return _maybe_in(rows.filter(F.col("doc_id").isNotNull()), wanted, "doc_id")
 
 
 def _needed(percent: int) -> Column:
@@ -168,15 +167,27 @@ def _sizes_fit(percent: int) -> Column:
     return F.least("n1", "n2") * 100 >= F.greatest("n1", "n2") * percent
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose whole sets are similar enough, with the shared count."""
-    left = sets.select(F.col("vertex").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("vertex").alias("b"), F.col("shingles").alias("sb"))
+def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b, n1, n2 and the number of ``items`` that both have; ``sets`` has vertex, n, items."""
+    left = sets.select(F.col("vertex").alias("a"), F.col("n").alias("n1"), F.col("items").alias("ia"))
+    right = sets.select(F.col("vertex").alias("b"), F.col("n").alias("n2"), F.col("items").alias("ib"))
     both = pairs.select("a", "b").join(right, "b").join(left, "a")
-    shared = F.size(F.array_intersect("sa", "sb")).cast("bigint")
-    sized = both.select("a", "b", shared.alias("shared"), F.size("sa").alias("n1"), F.size("sb").alias("n2"))
-    union = F.col("n1") + F.col("n2") - F.col("shared")
-    return sized.filter(F.col("shared") * 100 >= union * percent).select("a", "b", "shared")
+    return both.select("a", "b", "n1", "n2", F.size(F.array_intersect("ia", "ib")).cast("bigint").alias("k"))
+
+
+def verified(pairs: DataFrame, prepared: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that link.
+
+    The prefixes, a fifth of the sets, rule out most others; the rest are compared on
+    the whole sets.
+    """
+    prefixes = _in_pairs(prepared, pairs).selectExpr("doc_id AS vertex", "n_shingles AS n", "prefix AS items")
+    near = _overlaps(pairs, prefixes).filter(_sizes_fit(percent) & _may_link(percent, F.col("k")))
+    near = stored(near.select("a", "b").distinct(), "near")
+    texts = _in_pairs(docs, near).select("doc_id", "text")
+    sets = stored(texts.mapInArrow(_set_rows(words), "vertex long, n long, items array<long>"), "sets")
+    union = F.col("n1") + F.col("n2") - F.col("k")
+    return _overlaps(near, sets).filter(F.col("k") * 100 >= union * percent).select("a", "b").distinct()
 
 
 def ngram_classes(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -214,10 +225,10 @@ def ngram_classes(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFra
     index = stored(_maybe_in(entries, shared, "h").join(shared, "h", "left_semi"), "index")
 
     first = stored(_star_pairs(classes, index, percent), "pairs")
-    links = stored(verified(first, _sets(docs, first, words), percent), "links")
+    links = stored(verified(first, prepared, docs, words, percent), "links")
     labels = component_labels(links)
     rest = stored(_open_pairs(classes, index, labels, percent), "pairs")
-    more = verified(rest, _sets(docs, rest, words), percent)
+    more = verified(rest, prepared, docs, words, percent)
     joined = labels.select(F.col("vertex").alias("a"), F.col("component").alias("b")).unionByName(
         more.select("a", "b")
     )
@@ -252,7 +263,11 @@ def _star_pairs(classes: DataFrame, index: DataFrame, percent: int) -> DataFrame
 
 
 def _open_pairs(classes: DataFrame, index: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of classes whose components still differ."""
+    """Candidate pairs of classes whose components still differ.
+
+    Components, not their members, meet in the index: a large one costs no more than a
+    single document. Only pairs of components that may link are expanded.
+    """
     marked = stored(
         classes.join(labels, classes["class_id"] == labels["vertex"], "left").select(
             "class_id", "g", "n", F.coalesce("component", "class_id").alias("comp")
@@ -260,20 +275,35 @@ def _open_pairs(classes: DataFrame, index: DataFrame, labels: DataFrame, percent
         "marked",
     )
     held = marked.select("g", "comp").distinct()
-    posted = index.join(held, "g").select("h", "g", "n", "comp")
-    mixed = posted.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
-    posted = stored(posted.join(mixed.select("h"), "h", "left_semi"), "posted")
-    x = posted.select("h", F.col("g").alias("g1"), F.col("n").alias("n1"), F.col("comp").alias("c1"))
-    y = posted.select("h", F.col("g").alias("g2"), F.col("n").alias("n2"), F.col("comp").alias("c2"))
-    between = (
-        x.join(y, (x["h"] == y["h"]) & (F.col("c1") < F.col("c2")) & (F.col("g1") != F.col("g2")) & _sizes_fit(percent))
-        .groupBy("g1", "c1", "n1", "g2", "c2", "n2")
-        .agg(F.count(F.lit(1)).alias("k"))
-        .filter(_may_link(percent, F.col("k")))
+    posted = (
+        index.join(held, "g")
+        .groupBy("h", "comp")
+        .agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    )
+    posted = stored(posted, "posted")
+    mixed = posted.groupBy("h").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("h")
+    posted = posted.join(mixed, "h", "left_semi")
+    x = posted.select("h", F.col("comp").alias("c1"), F.col("low").alias("l1"), F.col("high").alias("h1"))
+    y = posted.select("h", F.col("comp").alias("c2"), F.col("low").alias("l2"), F.col("high").alias("h2"))
+    # Some sizes of the two ranges must fit.
+    fit = (F.col("h1") * 100 >= F.col("l2") * percent) & (F.col("h2") * 100 >= F.col("l1") * percent)
+    met = (
+        x.join(y, "h")
+        .filter((F.col("c1") < F.col("c2")) & fit)
+        .groupBy("c1", "c2")
+        .agg(
+            F.count(F.lit(1)).alias("k"),
+            F.least(F.min("l1"), F.min("l2")).alias("n1"),
+            F.greatest(F.max("h1"), F.max("h2")).alias("n2"),
+        )
+        # The fewest shared shingles are needed by the smallest set and the largest that fits it.
+        .withColumn("n2", F.least(F.col("n2"), F.floor(F.col("n1") * 100 / percent)))
+        .filter(_may_link(percent, F.col("k") + 2))
+        .select("c1", "c2")
     )
-    left = marked.select(F.col("g").alias("g1"), F.col("comp").alias("c1"), F.col("class_id").alias("a"))
-    right = marked.select(F.col("g").alias("g2"), F.col("comp").alias("c2"), F.col("class_id").alias("b"))
-    across = between.join(left, ["g1", "c1"]).join(right, ["g2", "c2"]).select("a", "b")
+    left = marked.select(F.col("comp").alias("c1"), F.col("class_id").alias("a"), F.col("n").alias("n1"))
+    right = marked.select(F.col("comp").alias("c2"), F.col("class_id").alias("b"), F.col("n").alias("n2"))
+    across = met.join(left, "c1").join(right, "c2").filter(_sizes_fit(percent)).select("a", "b")
     # Inside one group: equal prefixes, different sets, still in different components.
     split = held.groupBy("g").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("g")
     own = marked.join(split, "g", "left_semi")
