@@ -16,6 +16,7 @@ else covers all rows.
 A row is accepted if its text has letters, its best language has a posterior of at least
 ``MIN_POSTERIOR``, and its trigrams are closer to that language than to noise. A rejected
 row keeps its best guess in ``language`` and names the reason; without letters it is "und".
+Texts of fewer than ``NOISE_TRIGRAMS`` trigrams are not held against noise.
 
 Defined cases: a null text is empty and rejected; a null declared language, host or suffix
 is no evidence; repeated rows count and stay; no rows, or no declared language, give no
@@ -42,6 +43,7 @@ DECLARED_TRUST = 0.9
 SUFFIX_TRUST = 0.7
 SMOOTHING = 10.0
 MIN_POSTERIOR = 0.5
+NOISE_TRIGRAMS = 50  # a shorter text is not held against noise
 MAX_SMALL = 100_000  # rejected ids that may be broadcast (under 4 MB)
 # Address suffixes that belong to one language.
 SUFFIXES = {
@@ -156,6 +158,9 @@ def identify(rows: DataFrame, fit_rows: int = FIT_ROWS, max_languages: int = MAX
     ``rows`` has id, text, declared, host and suffix.
     """
     spark = rows.sparkSession
+    # Blanks around a text let its first and last letters count.
+    text = F.concat(F.lit(" "), F.coalesce("text", F.lit("")), F.lit(" "))
+    rows = rows.withColumn("text", text)
     names, logs = fit(rows, fit_rows, max_languages)
     if not names:
         return rows.select(
@@ -214,6 +219,7 @@ def identify(rows: DataFrame, fit_rows: int = FIT_ROWS, max_languages: int = MAX
     fused = fused.withColumn("at", F.array_position("logged", F.col("top")).cast("int"))
     total = F.aggregate("logged", F.lit(0.0), lambda s, x: s + F.exp(x - F.col("top")))
     foreign = F.element_at("mean", F.col("at")) < F.element_at(least, F.col("at"))
+    foreign = foreign & (F.col("n_grams") >= NOISE_TRIGRAMS)
     reason = (
         F.when(F.col("n_grams") == 0, "no letters")
         .when(F.col("posterior") < MIN_POSTERIOR, "unsure")
