@@ -38,7 +38,7 @@ def test_clean_documents_are_kept(spark):
 
 
 def test_declaration_and_host_decide_where_the_text_is_short(documents):
-    rows = [*corpus(), (1000, "ab", "de", "host-de", 0), (1001, "ab", None, "host-fr", 0), (1002, "the and", "xx", "host-en", 0)]
+    rows = [*corpus(), (1000, "zq", "de", "host-de", 0), (1001, "zq", None, "host-fr", 0), (1002, "the and", "xx", "host-en", 0)]
     found = {r["doc_id"]: r for r in identify_documents(documents(rows)).collect()}
     assert [found[i]["language"] for i in (1000, 1001, 1002)] == ["de", "fr", "en"]
 
