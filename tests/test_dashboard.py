@@ -176,6 +176,24 @@ def test_align_to_hours(spark):
 # --- metrics -----------------------------------------------------------------
 
 
+def test_align_keeps_timestamps_off_the_hour(spark):
+    at = lambda h, m: dt.datetime(2023, 1, 1, h, m)
+    rows = spark.createDataFrame(
+        [("a", at(0, 0), 1.0), ("a", at(0, 30), 2.0), ("b", at(5, 0), 3.0)],
+        "asset_id string, timestamp timestamp_ntz, v double",
+    )
+    fleet = spark.createDataFrame([("a",), ("b",)], "asset_id string")
+    got = {(r.asset_id, r.timestamp): r.v for r in align_to_hours(rows, fleet, "v").collect()}
+    assert len(got) == 6 and got["a", at(0, 30)] == 2.0 and got["b", at(0, 30)] == 0.0
+    inside = align_to_hours(rows, fleet, "v", start="2023-01-01 00:00:00", end="2023-01-01 05:00:00")
+    assert inside.count() == 6
+    with pytest.raises(Exception, match="outside the hour range"):
+        align_to_hours(rows, fleet, "v", end="2023-01-01 04:00:00").collect()
+    lost = rows.unionByName(spark.createDataFrame([("a", None, 1.0)], rows.schema))
+    with pytest.raises(Exception, match="null or outside"):
+        align_to_hours(lost, fleet, "v").collect()
+
+
 @pytest.fixture(scope="module")
 def marts(spark):
     daily = spark.createDataFrame(

@@ -92,3 +92,11 @@ def test_linear_fit(spark):
     assert fit(spark, [(1, None, 3.0)]) == (0, 0, 0)
     # A constant y has no explained share.
     assert fit(spark, [(1, 1.0, 3.0), (2, 2.0, 3.0)]) == pytest.approx((0, 3, 0))
+
+
+@pytest.mark.parametrize("value", [1e27, -3.5e300, 1.7e308, 4.6e15])
+def test_large_finite_values_round_to_themselves(spark, value):
+    row = spark.createDataFrame([(value,)], "x double").select(
+        round_dec("x", 4).alias("a"), round_dec(F.col("x"), 4).alias("b")
+    ).first()
+    assert (row.a, row.b) == (value, value)

@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -109,9 +110,9 @@ def test_guards(spark):
 def test_overwrite_drops_nan_and_skips_empty(spark, tmp_path):
     path = str(tmp_path / "t")
     assert tables.overwrite_table(raw(spark, ("a", 1, 0, float("nan"), 1)), path)
-    assert spark.read.parquet(path).first().x is None
+    assert tables.current_table(spark, path).first().x is None
     assert not tables.overwrite_table(raw(spark).filter("false"), path)
-    assert spark.read.parquet(path).count() == 1
+    assert tables.current_table(spark, path).count() == 1
 
 
 def test_preferred_source(spark):
@@ -165,7 +166,9 @@ def test_contract(spark, tmp_path):
         contracts.write_with_contract(
             dim.withColumn("asset_id", F.lit(None).cast("string")), contracts.DIM_ASSET, path
         )
-    assert spark.read.parquet(path).first().asset_id == "a"  # the good table is still there
+    stored = tables.current_table(spark, path)
+    assert stored.first().asset_id == "a"  # the good table is still there
+    assert stored.columns[:3] == ["asset_id", "asset_name", "asset_type"]
 
 
 # --- JSON and CSV ------------------------------------------------------------
@@ -296,9 +299,9 @@ def test_correlation_job(spark, tmp_path):
     out = correlation_job.run_correlation_job(daily, str(tmp_path / "r"), str(tmp_path / "e"))
     assert out["row_count"] == 3 and out["enriched_row_count"] == 18
     assert out["mean_correlation"] == pytest.approx(0.0)
-    stored = {r.asset_id: r[correlation_job.RESULT] for r in spark.read.parquet(str(tmp_path / "r")).collect()}
+    stored = {r.asset_id: r[correlation_job.RESULT] for r in tables.current_table(spark, str(tmp_path / "r")).collect()}
     assert stored == {"up": pytest.approx(1.0), "down": pytest.approx(-1.0), "flat": None}
-    enriched = spark.read.parquet(str(tmp_path / "e"))
+    enriched = tables.current_table(spark, str(tmp_path / "e"))
     assert "total_net_generation_mwh_rolling_std_30" in enriched.columns
     assert enriched.filter("asset_id = 'up' AND n = 7").first().total_net_generation_mwh_lag_7 == 0.0
     with pytest.raises(ValueError):
@@ -308,6 +311,55 @@ def test_correlation_job(spark, tmp_path):
 def test_upsert_reads_only_touched_days(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.upsert(spark, path, raw(spark, *[("a", d, 0, 1.0, 1) for d in range(1, 6)]))
-    touched = tables._read_if_there(spark, f"{path}/date={{2023-01-02,2023-02-09}}", basePath=path)
+    days = [dt.date(2023, 1, 2), dt.date(2023, 2, 9)]
+    touched = tables._days_of(spark, path, tables.stored_schema(spark, path), days)
     assert content(touched, "date") == [(dt.date(2023, 1, 2),)]
-    assert all("date=2023-01-02" in name for name in touched.inputFiles())
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [date" in plan
+
+
+def test_upsert_keeps_rows_without_a_timestamp(spark, tmp_path):
+    path = str(tmp_path / "t")
+    lost = lambda a, x, load: spark.createDataFrame([(a, None, x, load)], RAW)
+    tables.upsert(spark, path, lost("a", 1.0, 1))
+    tables.upsert(spark, path, lost("b", 2.0, 2))
+    tables.upsert(spark, path, lost("a", 3.0, 3))
+    stored = tables.read_landing(spark, path)
+    assert content(stored, "asset_id", "x", "date") == [("a", 3.0, None), ("b", 2.0, None)]
+
+
+def test_added_columns_are_reported_once_and_read_back(spark, tmp_path):
+    path = str(tmp_path / "t")
+    wide = lambda day: raw(spark, ("a", day, 0, 1.0, day)).withColumn("y", F.lit(float(day)))
+    tables.upsert(spark, path, raw(spark, ("a", 1, 0, 1.0, 1)))
+    assert tables.upsert(spark, path, wide(2)) == ["y"]
+    assert tables.upsert(spark, path, wide(3)) == []
+    assert sorted(r.y or 0.0 for r in tables.read_landing(spark, path).collect()) == [0.0, 2.0, 3.0]
+
+
+def test_staged_files_follow_tasks_not_days(spark, tmp_path):
+    rows = raw(spark, *[("a", 1 + d, h, 1.0, 1) for d in range(28) for h in range(24)]).repartition(8)
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(Path(shared).glob("upsert-*"))
+    tables.upsert(spark, str(tmp_path / "t"), rows)
+    (staged,) = set(Path(shared).glob("upsert-*")) - before
+    assert len(list(staged.rglob("*.parquet"))) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_a_refused_or_repeated_write_keeps_versions_apart(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.replace_table(raw(spark, ("a", 1, 0, 1.0, 1)), path)
+    with pytest.raises(ZeroDivisionError):
+        tables.replace_table(raw(spark, ("b", 1, 0, 2.0, 1)), path, check=lambda df: 1 / 0)
+    assert content(tables.current_table(spark, path), "asset_id") == [("a",)]
+    tables.replace_table(raw(spark, ("c", 1, 0, 3.0, 1)), path)
+    assert content(tables.current_table(spark, path), "asset_id") == [("c",)]
+    with pytest.raises(ValueError):
+        tables.current_table(spark, str(tmp_path / "none"))
+
+
+def test_manifest_with_a_missing_technology(spark):
+    assets = spark.createDataFrame([("a", None), ("b", "wind")], "asset_id string, asset_type string")
+    daily = spark.createDataFrame([(dt.date(2023, 1, 1),)], "date date")
+    row = export.manifest(daily, daily, assets, "r", "w", "now").first()
+    assert row.asset_type_counts == {"unknown": 1, "wind": 1}

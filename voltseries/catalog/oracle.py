@@ -10,8 +10,8 @@ import re
 
 
 def r(expr: str, digits: int) -> str:
-    """Half-up rounding in decimal; NaN and infinities become NULL."""
-    return f"CAST(ROUND(TRY_CAST({expr} AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
+    """Half-up rounding of the shortest decimal text; NaN and infinities become NULL."""
+    return f"CAST(ROUND(TRY_CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
 
 
 def cf(generation: str, capacity: str, hours: str = "1.0e0") -> str:
@@ -893,9 +893,10 @@ _SPINE = (
 SQL["time_spine"] = _SPINE
 SQL["metric_on_spine"] = f"""
 SELECT s.date_day, {r('m.v', 6)} AS daily_generation
-FROM ({_SPINE}) s
+FROM (SELECT DISTINCT CAST(date_day + CAST(shift AS INTEGER) AS DATE) AS date_day
+      FROM ({_SPINE}) CROSS JOIN (VALUES (-40), (0), (40)) AS v(shift)) s
 LEFT JOIN (SELECT date, SUM(total_net_generation_mwh) AS v FROM daily_mart
-           WHERE total_hours >= 5 GROUP BY date) m ON s.date_day = m.date"""
+           GROUP BY date) m ON s.date_day = m.date"""
 _COMMAS = "format('{{:,}}', CAST(ROUND({x}) AS BIGINT))"
 SQL["fleet_kpis"] = f"""
 SELECT key, label, {r('value', 6)} AS value, display, unit FROM (
@@ -962,6 +963,17 @@ FROM assets_export a LEFT JOIN (
 SQL["upsert_latest"] = f"""
 SELECT timestamp, asset_id, asset_type, {_r6(*_GEN_DOUBLES)}, _load_id,
   CAST(timestamp AS DATE) AS date FROM generation"""
+SQL["upsert_weather"] = f"""
+SELECT timestamp, asset_id, {_r6(*_WX_DOUBLES)}, _load_id,
+  CAST(timestamp AS DATE) AS date FROM weather"""
+SQL["schema_evolution"] = f"""
+SELECT timestamp, asset_id, {r('gross_generation_mwh', 6)} AS gross_generation_mwh, _load_id,
+  CASE WHEN _load_id % 3 = 1 THEN {r('availability_pct', 6)} END AS availability_pct,
+  CAST(timestamp AS DATE) AS date
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY asset_id, timestamp ORDER BY _load_id DESC) AS rn
+      FROM (SELECT * REPLACE (CASE WHEN _load_id % 11 <> 0 THEN timestamp END AS timestamp)
+            FROM raw_generation))
+WHERE rn = 1"""
 SQL["lookback_window"] = f"""
 SELECT * FROM (
   SELECT asset_id, date, {_NET}, {_daily_rolling(('mean',), (3,))} FROM generation_daily
@@ -1016,6 +1028,12 @@ SQL["csv_seed_roundtrip"] = (
 SQL["contract_checked_mart"] = (
     "SELECT * REPLACE (CAST(date AS TIMESTAMP) AS date) FROM weather_mart"
 )
+SQL["contract_daily_mart"] = (
+    "SELECT * REPLACE (CAST(date AS TIMESTAMP) AS date) FROM daily_mart "
+    "WHERE asset_id IS NOT NULL AND date IS NOT NULL AND asset_type IS NOT NULL "
+    "AND total_net_generation_mwh IS NOT NULL AND daily_capacity_factor IS NOT NULL"
+)
+SQL["contract_dim_asset"] = SQL["dim_asset"]
 
 
 def oracle_sql() -> dict[str, str]:

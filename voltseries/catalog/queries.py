@@ -325,8 +325,11 @@ def correlation_enriched(f: Fleet) -> DataFrame:
 
 @_query
 def correlation_job_summary(f: Fleet) -> DataFrame:
-    results = correlation_job.correlation_results(f.daily_mart)
-    return rounded(correlation_job.job_summary(results, f.daily_mart))
+    """The whole job: both tables stored, the summary taken from what is stored."""
+    results, enriched = f.scratch("correlation"), f.scratch("enriched")
+    correlation_job.run_correlation_job(f.daily_mart, results, enriched)
+    stored = tables.current_table(f.spark, results), tables.current_table(f.spark, enriched)
+    return rounded(correlation_job.job_summary(*stored))
 
 
 # --- windows -----------------------------------------------------------------
@@ -637,10 +640,12 @@ def time_spine(f: Fleet) -> DataFrame:
 
 @_query
 def metric_on_spine(f: Fleet) -> DataFrame:
-    metric = metrics.query_metric(
-        f.marts, "daily_generation", grain="day", where="total_hours >= 5"
-    )
-    return rounded(metrics.on_spine(metric, tables.day_spine_of(f.stg_generation), "date"))
+    """All days of the metric on a spine that is wider than the data."""
+    metric = metrics.query_metric(f.marts, "daily_generation", grain="day")
+    spine = tables.day_spine_of(f.stg_generation).select(F.explode(F.array(
+        F.date_sub("date_day", 40), "date_day", F.date_add("date_day", 40)
+    )).alias("date_day")).distinct()
+    return rounded(metrics.on_spine(metric, spine, "date"))
 
 
 # --- dashboard ---------------------------------------------------------------
@@ -712,7 +717,31 @@ def upsert_latest(f: Fleet) -> DataFrame:
     late = f.raw_generation.filter(F.col("_load_id") % 3 == 0)
     tables.upsert(f.spark, path, early)
     tables.upsert(f.spark, path, late)
-    return rounded(f.spark.read.parquet(path))
+    return rounded(tables.read_landing(f.spark, path))
+
+
+@_query
+def upsert_weather(f: Fleet) -> DataFrame:
+    """The same for weather."""
+    path = f.scratch("raw-weather")
+    tables.upsert(f.spark, path, f.raw_weather.filter(F.col("_load_id") % 5 != 0))
+    tables.upsert(f.spark, path, f.raw_weather.filter(F.col("_load_id") % 5 == 0))
+    return rounded(tables.read_landing(f.spark, path))
+
+
+@_query
+def schema_evolution(f: Fleet) -> DataFrame:
+    """A later load brings a column, a last one lacks it, and some rows have no timestamp."""
+    path = f.scratch("raw-evolving")
+    columns = ["timestamp", "asset_id", "gross_generation_mwh", "_load_id"]
+    third = F.col("_load_id") % 3
+    lost = F.when(F.col("_load_id") % 11 != 0, F.col("timestamp")).alias("timestamp")
+    rows = f.raw_generation.select("*", third.alias("_third"))
+    pick = lambda k, *more: rows.filter(F.col("_third") == k).select(lost, *columns[1:], *more)
+    tables.upsert(f.spark, path, pick(0))
+    tables.upsert(f.spark, path, pick(1, "availability_pct"))
+    tables.upsert(f.spark, path, pick(2))
+    return rounded(tables.read_landing(f.spark, path))
 
 
 @_query
@@ -803,7 +832,25 @@ def contract_checked_mart(f: Fleet) -> DataFrame:
     path = f.scratch("weather-mart")
     mart = contracts.published_dates(f.weather_mart)
     contracts.write_with_contract(mart, contracts.WEATHER_PERFORMANCE, path)
-    return f.spark.read.parquet(path)
+    return tables.current_table(f.spark, path)
+
+
+@_query
+def contract_daily_mart(f: Fleet) -> DataFrame:
+    """The daily mart published under its contract; days without a total cannot keep it."""
+    path = f.scratch("daily-mart")
+    must = [c.name for c in contracts.PERFORMANCE_DAILY if not c.nullable]
+    contracts.write_with_contract(
+        contracts.published_dates(f.daily_mart.dropna(subset=must)), contracts.PERFORMANCE_DAILY, path
+    )
+    return tables.current_table(f.spark, path)
+
+
+@_query
+def contract_dim_asset(f: Fleet) -> DataFrame:
+    path = f.scratch("dim-asset")
+    contracts.write_with_contract(f.dim_asset, contracts.DIM_ASSET, path)
+    return tables.current_table(f.spark, path)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

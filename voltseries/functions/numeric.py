@@ -15,6 +15,8 @@ def _col(c: Column | str) -> Column:
 def round_dec(c: Column | str, digits: int) -> Column:
     """Round half up as a decimal of 12 digits would, NaN and infinities to NULL.
 
+    A finite value beyond the decimal's range (10^26) has no fraction and is itself.
+
     Binary noise must not decide a tie, so ties are decided in decimal. A value
     that is clearly not near a tie needs no decimal: there the nearest multiple is
     plain double arithmetic, which is several times faster. Text is read as a SQL
@@ -28,14 +30,16 @@ def round_dec(c: Column | str, digits: int) -> Column:
         return F.expr(
             f"CASE WHEN abs({scaled} - rint({scaled})) + abs({scaled}) * 1e-15D < 0.499999D "
             f"THEN rint({scaled}) / {factor} + 0D "
-            f"ELSE CAST(round(try_cast(({c}) AS {_WIDE}), {digits}) AS DOUBLE) END"
+            f"ELSE coalesce(CAST(round(try_cast(({c}) AS {_WIDE}), {digits}) AS DOUBLE), "
+            f"CASE WHEN abs({c}) < double('Infinity') THEN {c} END) END"
         )
     factor = F.lit(10.0**digits)
     scaled = c * factor
     nearest = F.rint(scaled)
     clear = F.abs(scaled - nearest) + F.abs(scaled) * F.lit(1e-15) < 0.499999
     exact = F.round(c.try_cast(_WIDE), digits).cast("double")
-    return F.when(clear, nearest / factor + F.lit(0.0)).otherwise(exact)
+    whole = F.when(F.abs(c) < float("inf"), c)
+    return F.when(clear, nearest / factor + F.lit(0.0)).otherwise(F.coalesce(exact, whole))
 
 
 def nan_to_null(c: Column | str) -> Column:

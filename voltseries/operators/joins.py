@@ -54,24 +54,38 @@ def select_assets(
 
 
 def align_to_hours(
-    series: DataFrame, assets: DataFrame, value: str, default: float = 0.0
+    series: DataFrame,
+    assets: DataFrame,
+    value: str,
+    default: float = 0.0,
+    start: str | None = None,
+    end: str | None = None,
 ) -> DataFrame:
-    """Every asset at every hour that occurs anywhere; gaps get ``default``.
+    """Every asset at every timestamp that occurs anywhere; gaps get ``default``.
 
-    Each asset expands its own hour sequence (no cross join), and a semi-join
-    keeps the hours that occur.
+    The result has assets × timestamps rows by definition, so the axis should be an
+    hourly one. Timestamps off the hour are kept, each as a point of the axis. With
+    ``start`` and ``end`` (inclusive) a record outside them is an error, as a null
+    timestamp always is. Every asset expands the days that occur, and meets the
+    timestamps of each day in an equi-join.
     """
-    span = series.agg(
-        F.struct(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).alias("span")
-    ).scalar()
-    hours = F.sequence("_span.lo", "_span.hi", F.expr("interval 1 hour"))
-    axis = (
+    stamp = F.col("timestamp")
+    wrong = stamp.isNull()
+    for bound, outside in ((start, lambda b: stamp < b), (end, lambda b: stamp > b)):
+        if bound is not None:
+            wrong = wrong | outside(F.lit(bound).cast(series.schema["timestamp"].dataType))
+    checked = F.when(wrong, F.raise_error("a timestamp is null or outside the hour range")).otherwise(stamp)
+    rows = series.select("asset_id", checked.alias("timestamp"), value)
+    axis = rows.select("timestamp").distinct().withColumn("_day", F.to_date("timestamp"))
+    # One entry per calendar day.
+    days = axis.agg(F.collect_set("_day").alias("days")).scalar()
+    points = (
         assets.select("asset_id")
-        .withColumn("_span", span)
-        .select("asset_id", F.explode(hours).alias("timestamp"))
-        .join(series.select("timestamp").distinct(), "timestamp", "left_semi")
+        .withColumn("_days", days)
+        .select("asset_id", F.explode("_days").alias("_day"))
+        .join(axis, "_day")
+        .drop("_day")
     )
-    return (
-        axis.join(series.select("asset_id", "timestamp", value), ["asset_id", "timestamp"], "left")
-        .withColumn(value, F.coalesce(value, F.lit(float(default))))
+    return points.join(rows, ["asset_id", "timestamp"], "left").withColumn(
+        value, F.coalesce(value, F.lit(float(default)))
     )

@@ -30,6 +30,12 @@ def _names(value: Names | None) -> list[str]:
     return [value] if isinstance(value, str) else list(value)
 
 
+def _counts(values: Sequence[int], what: str) -> Sequence[int]:
+    if any(n < 1 for n in values):
+        raise ValueError(f"{what} must be at least 1")
+    return values
+
+
 def _windowed(
     df: DataFrame,
     build: Callable[[WindowSpec], list[Column]],
@@ -57,6 +63,7 @@ def add_lag_features(
     block_rows: int | None = None,
 ) -> DataFrame:
     """Add ``{column}_lag_{n}``: the value n rows earlier."""
+    _counts(lags, "lags")
 
     def build(w: WindowSpec) -> list[Column]:
         return [F.lag(column, n).over(w).alias(f"{column}_lag_{n}") for n in lags]
@@ -74,6 +81,7 @@ def add_lead_features(
     block_rows: int | None = None,
 ) -> DataFrame:
     """Add ``{column}_lead_{n}``: the value n rows later."""
+    _counts(leads, "leads")
 
     def build(w: WindowSpec) -> list[Column]:
         return [F.lead(column, n).over(w).alias(f"{column}_lead_{n}") for n in leads]

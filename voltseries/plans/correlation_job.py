@@ -10,7 +10,7 @@ from voltseries.operators.timeseries import (
     add_rolling_stats,
     calculate_correlation,
 )
-from voltseries.sources.tables import lower_names, overwrite_table, require_mart
+from voltseries.sources.tables import current_table, lower_names, overwrite_table, require_mart
 
 TARGET, DRIVER = "total_net_generation_mwh", "avg_temperature_c"
 RESULT = f"corr_{TARGET}_{DRIVER}"
@@ -30,22 +30,19 @@ def enriched_daily(daily: DataFrame) -> DataFrame:
     )
 
 
-def job_summary(results: DataFrame, daily: DataFrame) -> DataFrame:
-    """Row counts and the mean correlation, one row.
-
-    Enriching adds columns only, so its row count is the one of ``daily``.
-    """
-    enriched_rows = daily.agg(F.count(F.lit(1)).alias("n")).scalar()
+def job_summary(results: DataFrame, enriched: DataFrame) -> DataFrame:
+    """Row counts of both results and the mean correlation, one row."""
+    enriched_rows = enriched.agg(F.count(F.lit(1)).alias("n")).scalar()
     return results.agg(
         F.count(F.lit(1)).alias("row_count"), F.avg(RESULT).alias("mean_correlation")
     ).select("row_count", enriched_rows.alias("enriched_row_count"), "mean_correlation")
 
 
 def run_correlation_job(daily: DataFrame, results_path: str, enriched_path: str) -> dict:
-    """Check the mart, store both results, and return the summary."""
+    """Check the mart, store both results, and return the summary of what is stored."""
     daily = require_mart(lower_names(daily), ["asset_id", "date", TARGET, DRIVER], MIN_ROWS)
     spark = daily.sparkSession
     overwrite_table(correlation_results(daily), results_path)
     overwrite_table(enriched_daily(daily), enriched_path)
-    stored = spark.read.parquet(results_path)
-    return job_summary(stored, daily).first().asDict()
+    stored = current_table(spark, results_path), current_table(spark, enriched_path)
+    return job_summary(*stored).first().asDict()

@@ -67,7 +67,9 @@ def assets_payload(dim: DataFrame) -> DataFrame:
 
 
 def assets_by_technology(assets: DataFrame) -> DataFrame:
-    return assets.groupBy("asset_type").agg(F.count(F.lit(1)).alias("count"))
+    """Number of assets per technology; a missing one counts as ``unknown``."""
+    kind = F.coalesce("asset_type", F.lit("unknown")).alias("asset_type")
+    return assets.groupBy(kind).agg(F.count(F.lit(1)).alias("count"))
 
 
 def manifest(

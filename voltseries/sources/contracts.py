@@ -6,70 +6,100 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_TYPES = {
-    "text": T.StringType(),
-    "float": T.DoubleType(),
-    "count": T.LongType(),
-    "flag": T.BooleanType(),
-    "time": T.TimestampNTZType(),
-}
-
-
-def _contract(required: str, **groups: str) -> T.StructType:
-    """A schema from groups of names per type; ``required`` names are NOT NULL."""
-    must = set(required.split())
-    return T.StructType(
-        [
-            T.StructField(name, _TYPES[kind], name not in must)
-            for kind, names in groups.items()
-            for name in names.split()
-        ]
-    )
-
-
-# Names, types and NOT NULL columns of the published tables.
-PERFORMANCE_DAILY = _contract(
-    "asset_id date asset_type total_net_generation_mwh daily_capacity_factor",
-    text="asset_id asset_type asset_size_category daily_performance_rating",
-    time="date first_generation_timestamp last_generation_timestamp",
-    flag="meets_availability_target has_high_quality_data",
-    count=(
-        "total_hours generating_hours high_output_hours excellent_hours good_hours "
-        "fair_hours poor_hours strong_wind_hours daylight_hours "
-        "zero_generation_anomaly_count"
-    ),
-    float=(
-        "asset_capacity_mw total_gross_generation_mwh total_net_generation_mwh "
-        "total_curtailment_mwh avg_hourly_net_mwh peak_hourly_net_mwh avg_soc_pct "
-        "total_charge_mwh total_discharge_mwh total_fuel_mmbtu avg_heat_rate_btu_kwh "
-        "total_co2_tonnes daily_capacity_factor avg_hourly_capacity_factor "
-        "avg_availability_pct min_availability_pct daily_loss_percentage "
-        "daily_curtailment_percentage generating_hours_pct avg_wind_speed_mps "
-        "max_wind_speed_mps avg_ghi max_ghi total_ghi avg_temperature_c "
-        "data_validity_pct data_completeness_pct"
-    ),
+from voltseries.sources.tables import replace_table
+
+# Names, types and NOT NULL columns of the published tables, in their order.
+PERFORMANCE_DAILY = T.StructType(
+    [
+        T.StructField("asset_id", T.StringType(), False),
+        T.StructField("date", T.TimestampNTZType(), False),
+        T.StructField("asset_type", T.StringType(), False),
+        T.StructField("asset_capacity_mw", T.DoubleType(), True),
+        T.StructField("asset_size_category", T.StringType(), True),
+        T.StructField("total_gross_generation_mwh", T.DoubleType(), True),
+        T.StructField("total_net_generation_mwh", T.DoubleType(), False),
+        T.StructField("total_curtailment_mwh", T.DoubleType(), True),
+        T.StructField("avg_hourly_net_mwh", T.DoubleType(), True),
+        T.StructField("peak_hourly_net_mwh", T.DoubleType(), True),
+        T.StructField("avg_soc_pct", T.DoubleType(), True),
+        T.StructField("total_charge_mwh", T.DoubleType(), True),
+        T.StructField("total_discharge_mwh", T.DoubleType(), True),
+        T.StructField("total_fuel_mmbtu", T.DoubleType(), True),
+        T.StructField("avg_heat_rate_btu_kwh", T.DoubleType(), True),
+        T.StructField("total_co2_tonnes", T.DoubleType(), True),
+        T.StructField("daily_capacity_factor", T.DoubleType(), False),
+        T.StructField("avg_hourly_capacity_factor", T.DoubleType(), True),
+        T.StructField("avg_availability_pct", T.DoubleType(), True),
+        T.StructField("min_availability_pct", T.DoubleType(), True),
+        T.StructField("daily_loss_percentage", T.DoubleType(), True),
+        T.StructField("daily_curtailment_percentage", T.DoubleType(), True),
+        T.StructField("total_hours", T.LongType(), True),
+        T.StructField("generating_hours", T.LongType(), True),
+        T.StructField("high_output_hours", T.LongType(), True),
+        T.StructField("generating_hours_pct", T.DoubleType(), True),
+        T.StructField("excellent_hours", T.LongType(), True),
+        T.StructField("good_hours", T.LongType(), True),
+        T.StructField("fair_hours", T.LongType(), True),
+        T.StructField("poor_hours", T.LongType(), True),
+        T.StructField("avg_wind_speed_mps", T.DoubleType(), True),
+        T.StructField("max_wind_speed_mps", T.DoubleType(), True),
+        T.StructField("avg_ghi", T.DoubleType(), True),
+        T.StructField("max_ghi", T.DoubleType(), True),
+        T.StructField("total_ghi", T.DoubleType(), True),
+        T.StructField("avg_temperature_c", T.DoubleType(), True),
+        T.StructField("strong_wind_hours", T.LongType(), True),
+        T.StructField("daylight_hours", T.LongType(), True),
+        T.StructField("data_validity_pct", T.DoubleType(), True),
+        T.StructField("data_completeness_pct", T.DoubleType(), True),
+        T.StructField("zero_generation_anomaly_count", T.LongType(), True),
+        T.StructField("daily_performance_rating", T.StringType(), True),
+        T.StructField("meets_availability_target", T.BooleanType(), True),
+        T.StructField("has_high_quality_data", T.BooleanType(), True),
+        T.StructField("first_generation_timestamp", T.TimestampNTZType(), True),
+        T.StructField("last_generation_timestamp", T.TimestampNTZType(), True),
+    ]
 )
 
-WEATHER_PERFORMANCE = _contract(
-    "asset_id date performance_score inferred_asset_type",
-    text="asset_id performance_category inferred_asset_type",
-    time="date",
-    count="total_hourly_observations",
-    float=(
-        "asset_capacity_mw wind_generation_correlation solar_generation_correlation "
-        "wind_cf_correlation solar_cf_correlation wind_r_squared solar_r_squared "
-        "wind_regression_slope wind_regression_intercept solar_regression_slope "
-        "solar_regression_intercept avg_expected_generation_mwh "
-        "avg_actual_generation_mwh avg_performance_ratio_pct performance_score "
-        "rolling_7d_avg_generation rolling_7d_avg_cf rolling_30d_avg_generation "
-        "rolling_30d_avg_cf"
-    ),
+WEATHER_PERFORMANCE = T.StructType(
+    [
+        T.StructField("asset_id", T.StringType(), False),
+        T.StructField("date", T.TimestampNTZType(), False),
+        T.StructField("asset_capacity_mw", T.DoubleType(), True),
+        T.StructField("wind_generation_correlation", T.DoubleType(), True),
+        T.StructField("solar_generation_correlation", T.DoubleType(), True),
+        T.StructField("wind_cf_correlation", T.DoubleType(), True),
+        T.StructField("solar_cf_correlation", T.DoubleType(), True),
+        T.StructField("wind_r_squared", T.DoubleType(), True),
+        T.StructField("solar_r_squared", T.DoubleType(), True),
+        T.StructField("wind_regression_slope", T.DoubleType(), True),
+        T.StructField("wind_regression_intercept", T.DoubleType(), True),
+        T.StructField("solar_regression_slope", T.DoubleType(), True),
+        T.StructField("solar_regression_intercept", T.DoubleType(), True),
+        T.StructField("avg_expected_generation_mwh", T.DoubleType(), True),
+        T.StructField("avg_actual_generation_mwh", T.DoubleType(), True),
+        T.StructField("avg_performance_ratio_pct", T.DoubleType(), True),
+        T.StructField("performance_score", T.DoubleType(), False),
+        T.StructField("performance_category", T.StringType(), True),
+        T.StructField("rolling_7d_avg_generation", T.DoubleType(), True),
+        T.StructField("rolling_7d_avg_cf", T.DoubleType(), True),
+        T.StructField("rolling_30d_avg_generation", T.DoubleType(), True),
+        T.StructField("rolling_30d_avg_cf", T.DoubleType(), True),
+        T.StructField("inferred_asset_type", T.StringType(), False),
+        T.StructField("total_hourly_observations", T.LongType(), True),
+    ]
 )
 
-DIM_ASSET = _contract(
-    "asset_id asset_name asset_type",
-    text="asset_id asset_name asset_type asset_size_category region",
-    float="asset_capacity_mw latitude longitude",
+DIM_ASSET = T.StructType(
+    [
+        T.StructField("asset_id", T.StringType(), False),
+        T.StructField("asset_name", T.StringType(), False),
+        T.StructField("asset_type", T.StringType(), False),
+        T.StructField("asset_capacity_mw", T.DoubleType(), True),
+        T.StructField("asset_size_category", T.StringType(), True),
+        T.StructField("latitude", T.DoubleType(), True),
+        T.StructField("longitude", T.DoubleType(), True),
+        T.StructField("region", T.StringType(), True),
+    ]
 )
 
 
@@ -87,6 +117,18 @@ def assert_contract(df: DataFrame, contract: T.StructType) -> DataFrame:
 
     Names and types come from the plan. NULLs are counted, all columns in one pass.
     """
+    _check_names(df, contract)
+    required = [f.name for f in contract.fields if not f.nullable]
+    if required:
+        nulls = df.agg(*[F.count_if(F.col(n).isNull()).alias(n) for n in required]).first()
+        broken = [f"{n}: {nulls[n]} NULLs" for n in required if nulls[n]]
+        if broken:
+            raise ContractError("; ".join(broken))
+    return df.select(*contract.fieldNames())
+
+
+def _check_names(df: DataFrame, contract: T.StructType) -> None:
+    """Raise if the columns of the plan are not those of the contract, by name and type."""
     wanted = {f.name: f for f in contract.fields}
     found = {f.name: f.dataType for f in df.schema.fields}
     problems = [f"missing {n}" for n in wanted if n not in found]
@@ -98,28 +140,15 @@ def assert_contract(df: DataFrame, contract: T.StructType) -> DataFrame:
     ]
     if problems:
         raise ContractError("; ".join(problems))
-    required = [f.name for f in contract.fields if not f.nullable]
-    if required:
-        nulls = df.agg(*[F.count_if(F.col(n).isNull()).alias(n) for n in required]).first()
-        broken = [f"{n}: {nulls[n]} NULLs" for n in required if nulls[n]]
-        if broken:
-            raise ContractError("; ".join(broken))
-    return df.select(*wanted)
 
 
 def write_with_contract(df: DataFrame, contract: T.StructType, path: str) -> None:
-    """Store a table that keeps its contract.
+    """Store a new version of a table that keeps its contract.
 
-    The table is written once, checked as stored, and only then takes the place of
-    the old one, so the plan runs once and a broken frame never replaces good data.
+    Names and types are checked before anything is written, NULLs as stored, so the
+    plan runs once. The version becomes current only then: readers of
+    ``tables.current_table`` see the old one until the new one is whole.
     """
-    from voltseries.session import scratch_path
-
-    spark = df.sparkSession
-    wanted = set(contract.fieldNames())
-    if set(df.columns) != wanted:
-        assert_contract(df.limit(0), contract)
-    staged = scratch_path(spark, "contract")
-    df.write.parquet(staged)
-    stored = spark.read.schema(df.schema).parquet(staged)
-    assert_contract(stored, contract).write.mode("overwrite").parquet(path)
+    _check_names(df, contract)
+    names = contract.fieldNames()
+    replace_table(df.select(*names), path, check=lambda stored: assert_contract(stored, contract))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -17,10 +19,30 @@ from voltseries.session import scratch_path
 
 WARMUP_DAYS = 7
 FILE_ORDER = ("date", "asset_id", "timestamp")
+SCHEMA_FOLDER = "_schema"
+POINTERS = "_versions"
+
+
+def _text_rows(spark: SparkSession, path: str) -> list[str]:
+    try:
+        return [r["value"] for r in spark.read.text(path).collect()]
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+
+
+def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The schema kept with an upserted table; None for other folders."""
+    # Every change appends a line; the longest schema is the newest, as columns only join.
+    lines = _text_rows(spark, f"{path.rstrip('/')}/{SCHEMA_FOLDER}")
+    schemas = [T.StructType.fromJson(json.loads(line)) for line in lines]
+    return max(schemas, key=len) if schemas else None
 
 
 def read_landing(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Landing files; with a schema nothing is inferred from the data."""
+    """Landing files or an upserted table; with a schema nothing is inferred from the data."""
+    schema = schema if schema is not None else stored_schema(spark, path)
     reader = spark.read
     return (reader.schema(schema) if schema is not None else reader).parquet(path)
 
@@ -71,11 +93,43 @@ def floats_without_nan(df: DataFrame) -> DataFrame:
     )
 
 
+def replace_table(
+    df: DataFrame, path: str, check: Callable[[DataFrame], object] | None = None
+) -> None:
+    """Write ``df`` as the next version of a table, and only then make it current.
+
+    A version is a folder of its own; the switch is the commit of one appended line, so
+    an interrupted or refused write leaves the current version as it was.
+    """
+    spark, path = df.sparkSession, path.rstrip("/")
+    number = 1 + max((n for n, _ in _versions(spark, path)), default=0)
+    name = f"version-{number:08d}-{uuid.uuid4().hex[:8]}"
+    df.write.parquet(f"{path}/{name}")
+    if check is not None:
+        check(spark.read.schema(df.schema).parquet(f"{path}/{name}"))
+    line = spark.createDataFrame([(f"{number} {name}",)], "value string")
+    line.coalesce(1).write.mode("append").text(f"{path}/{POINTERS}")
+
+
+def _versions(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    lines = [line.split(" ", 1) for line in _text_rows(spark, f"{path}/{POINTERS}")]
+    return sorted((int(number), name) for number, name in lines)
+
+
+def current_table(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a table written by ``replace_table``."""
+    path = path.rstrip("/")
+    versions = _versions(spark, path)
+    if not versions:
+        raise ValueError(f"no table at {path}")
+    return spark.read.parquet(f"{path}/{versions[-1][1]}")
+
+
 def overwrite_table(df: DataFrame, path: str) -> bool:
     """Replace a result table; NaN becomes NULL. Empty input leaves it as it is."""
     if df.isEmpty():
         return False
-    floats_without_nan(df).write.mode("overwrite").parquet(path)
+    replace_table(floats_without_nan(df), path)
     return True
 
 
@@ -92,13 +146,13 @@ def merge_latest(
     return keep_latest(base.unionByName(batch, allowMissingColumns=True), keys, version)
 
 
-def _read_if_there(spark: SparkSession, *paths: str, **options: str) -> DataFrame | None:
-    try:
-        return spark.read.options(**options).parquet(*paths)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+def _days_of(
+    spark: SparkSession, path: str, schema: T.StructType, days: Sequence[dt.date | None]
+) -> DataFrame:
+    """The partitions of some days, the one of rows without a date among them if asked."""
+    table = spark.read.schema(schema).parquet(path)
+    chosen = F.col("date").isin([d for d in days if d is not None])
+    return table.filter(chosen | F.col("date").isNull() if None in days else chosen)
 
 
 def upsert(
@@ -110,30 +164,31 @@ def upsert(
 ) -> list[str]:
     """Merge a batch into a date-partitioned table; returns the added columns.
 
-    Only the days the batch touches are read and rewritten. The merged days are
-    first stored in the scratch folder, because a plan cannot overwrite files it
-    reads; the table changes in the second write only, so an interrupted run leaves
-    it as it was, and a repeated run gives the same table.
+    Only the days the batch touches are read and rewritten; rows without a timestamp
+    are a day of their own. The batch is planned once and staged, and so are the merged
+    days, because a plan cannot overwrite files it reads. The table changes in the last
+    write only: an interrupted run leaves it as it was, and a repeated run gives the
+    same table. The schema is kept beside the data; read with ``read_landing``.
     """
+    incoming = scratch_path(spark, "batch")
     batch = batch.withColumn("date", day_of("timestamp"))
+    batch.write.parquet(incoming)
+    batch = spark.read.schema(batch.schema).parquet(incoming)
     # One value per calendar day: bounded by the calendar, not by the rows.
-    days = [str(r["date"]) for r in batch.select("date").distinct().collect()]
+    days = [r["date"] for r in batch.select("date").distinct().collect()]
     if not days:
         return []
-    table = _read_if_there(spark, path)
-    # Schemas are merged over the touched days only, not over every file.
-    touched = _read_if_there(
-        spark, f"{path}/date={{{','.join(days)}}}", basePath=path, mergeSchema="true"
-    )
+    known = stored_schema(spark, path)
     keys = ["date", *[k for k in keys if k != "date"]]
-    if touched is None:
-        merged = keep_latest(batch, keys, version)
-    else:
-        merged = merge_latest(touched, batch, keys, version)
+    schema, merged = batch.schema, batch
+    if known is not None:
+        added = [f for f in batch.schema if f.name not in known.names]
+        schema = T.StructType([*known.fields, *added])
+        merged = _days_of(spark, path, schema, days).unionByName(batch, allowMissingColumns=True)
     staged = scratch_path(spark, "upsert")
-    merged.write.partitionBy("date").parquet(staged)
+    keep_latest(merged, keys, version).select(*schema.names).write.parquet(staged)
     (
-        spark.read.schema(merged.schema).parquet(staged)
+        spark.read.schema(schema).parquet(staged)
         .repartitionByRange(*FILE_ORDER)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -141,10 +196,10 @@ def upsert(
         .partitionBy("date")
         .parquet(path)
     )
-    if table is None:
-        return []
-    known = {*table.columns, *(touched.columns if touched is not None else ())}
-    return [c for c in batch.columns if c not in known]
+    if known is None or len(schema) > len(known):
+        line = spark.createDataFrame([(schema.json(),)], "value string")
+        line.coalesce(1).write.mode("append").text(f"{path.rstrip('/')}/{SCHEMA_FOLDER}")
+    return [] if known is None else [n for n in schema.names if n not in known.names]
 
 
 def day_partition(df: DataFrame, day: str | dt.date, partition_col: str | None = None) -> DataFrame:
