@@ -11,9 +11,10 @@ Jaccard similarity of their sets is at least ``percent`` / 100.
 2. Only shingles in the prefixes of two groups enter the index.
 3. Star round: each index entry, and each group, links its members to its smallest
    one. The pairs are verified on the whole sets, and components are formed.
-4. Full round: what is left are pairs of components that share an index entry. They are
-   filtered by size and by the number of shared prefix shingles, expanded to the members
-   of their groups, and verified. No candidate is cut off:
+4. Full round: what is left are pairs of stars in different components that share an
+   index entry. They are filtered by size and by the number of shared prefix shingles,
+   expanded to those members that can still be similar enough, and verified. No candidate
+   is cut off:
    a pair is skipped only if its two ends are in one component already, or if the
    filters prove that it cannot link.
 
@@ -144,7 +145,8 @@ def _maybe_in(rows: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
 
 def _in_pairs(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     """Rows whose doc_id stands in some pair, and few others."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
+    ends = [pairs.select(F.col(c).alias("doc_id")).distinct() for c in ("a", "b")]
+    wanted = ends[0].unionByName(ends[1])
     return _maybe_in(rows.filter(F.col("doc_id").isNotNull()), wanted, "doc_id")
 
 
@@ -175,8 +177,14 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "n1", "n2", F.size(F.array_intersect("ia", "ib")).cast("bigint").alias("k"))
 
 
+def _whole_sets(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
+    """vertex, n and items (all shingles) of the documents in some pairs."""
+    texts = _in_pairs(docs, pairs).select("doc_id", "text")
+    return stored(texts.mapInArrow(_set_rows(words), "vertex long, n long, items array<long>"), "sets")
+
+
 def verified(pairs: DataFrame, prepared: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link.
+    """The pairs that link: a, b, n1, n2 and k, the number of shingles both have.
 
     The prefixes, a fifth of the sets, rule out most others; the rest are compared on
     the whole sets.
@@ -184,10 +192,8 @@ def verified(pairs: DataFrame, prepared: DataFrame, docs: DataFrame, words: int,
     prefixes = _in_pairs(prepared, pairs).selectExpr("doc_id AS vertex", "n_shingles AS n", "prefix AS items")
     near = _overlaps(pairs, prefixes).filter(_sizes_fit(percent) & _may_link(percent, F.col("k")))
     near = stored(near.select("a", "b").distinct(), "near")
-    texts = _in_pairs(docs, near).select("doc_id", "text")
-    sets = stored(texts.mapInArrow(_set_rows(words), "vertex long, n long, items array<long>"), "sets")
     union = F.col("n1") + F.col("n2") - F.col("k")
-    return _overlaps(near, sets).filter(F.col("k") * 100 >= union * percent).select("a", "b").distinct()
+    return _overlaps(near, _whole_sets(docs, near, words)).filter(F.col("k") * 100 >= union * percent)
 
 
 def ngram_classes(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -227,7 +233,7 @@ def ngram_classes(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFra
     first = stored(_star_pairs(classes, index, percent), "pairs")
     links = stored(verified(first, prepared, docs, words, percent), "links")
     labels = component_labels(links)
-    rest = stored(_open_pairs(classes, index, labels, percent), "pairs")
+    rest = stored(_open_pairs(classes, index, links, labels, docs, words, percent), "pairs")
     more = verified(rest, prepared, docs, words, percent)
     joined = labels.select(F.col("vertex").alias("a"), F.col("component").alias("b")).unionByName(
         more.select("a", "b")
@@ -262,55 +268,93 @@ def _star_pairs(classes: DataFrame, index: DataFrame, percent: int) -> DataFrame
     return inner.unionByName(spokes).distinct()
 
 
-def _open_pairs(classes: DataFrame, index: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+def _open_pairs(
+    classes: DataFrame,
+    index: DataFrame,
+    links: DataFrame,
+    labels: DataFrame,
+    docs: DataFrame,
+    words: int,
+    percent: int,
+) -> DataFrame:
     """Candidate pairs of classes whose components still differ.
 
-    Components, not their members, meet in the index: a large one costs no more than a
-    single document. Only pairs of components that may link are expanded.
+    A class that links to a centre of the star round belongs to the centre's star, any
+    other is a star of its own. Stars, not their members, meet in the index. For two
+    stars of several members the centres are compared: members m1 and m2 share at most
+    what their centres share, plus what m1 and m2 have beyond their own centres. Only
+    pairs of members that can still reach the similarity are handed on.
     """
+    nearest = links.groupBy("b").agg(F.min(F.struct((F.col("n2") - F.col("k")).alias("beyond"), "a")).alias("s"))
     marked = stored(
-        classes.join(labels, classes["class_id"] == labels["vertex"], "left").select(
-            "class_id", "g", "n", F.coalesce("component", "class_id").alias("comp")
+        classes.join(labels, classes["class_id"] == labels["vertex"], "left")
+        .join(nearest, F.col("class_id") == F.col("b"), "left")
+        .select(
+            "class_id",
+            "g",
+            "n",
+            F.coalesce("component", "class_id").alias("comp"),
+            F.coalesce("s.a", "class_id").alias("star"),
+            F.coalesce("s.beyond", F.lit(0)).alias("beyond"),
         ),
         "marked",
     )
-    held = marked.select("g", "comp").distinct()
-    posted = (
+    held = marked.select("g", "star", "comp").distinct()
+    posted = stored(
         index.join(held, "g")
-        .groupBy("h", "comp")
-        .agg(F.min("n").alias("low"), F.max("n").alias("high"))
+        .groupBy("h", "star", "comp")
+        .agg(F.min("n").alias("low"), F.max("n").alias("high")),
+        "posted",
     )
-    posted = stored(posted, "posted")
-    mixed = posted.groupBy("h").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("h")
+    mixed = posted.groupBy("h").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).filter("c1 < c2").select("h")
     posted = posted.join(mixed, "h", "left_semi")
-    x = posted.select("h", F.col("comp").alias("c1"), F.col("low").alias("l1"), F.col("high").alias("h1"))
-    y = posted.select("h", F.col("comp").alias("c2"), F.col("low").alias("l2"), F.col("high").alias("h2"))
+    x, y = (
+        posted.select("h", *[F.col(c).alias(f"{c}{i}") for c in ("star", "comp", "low", "high")]) for i in (1, 2)
+    )
     # Some sizes of the two ranges must fit.
-    fit = (F.col("h1") * 100 >= F.col("l2") * percent) & (F.col("h2") * 100 >= F.col("l1") * percent)
+    fit = (F.col("high1") * 100 >= F.col("low2") * percent) & (F.col("high2") * 100 >= F.col("low1") * percent)
     met = (
-        x.join(y, "h")
-        .filter((F.col("c1") < F.col("c2")) & fit)
-        .groupBy("c1", "c2")
+        x.join(y, (x["h"] == y["h"]) & (F.col("star1") < F.col("star2")) & (F.col("comp1") != F.col("comp2")) & fit)
+        .groupBy("star1", "star2")
         .agg(
             F.count(F.lit(1)).alias("k"),
-            F.least(F.min("l1"), F.min("l2")).alias("n1"),
-            F.greatest(F.max("h1"), F.max("h2")).alias("n2"),
+            F.least(F.min("low1"), F.min("low2")).alias("n1"),
+            F.greatest(F.max("high1"), F.max("high2")).alias("n2"),
         )
         # The fewest shared shingles are needed by the smallest set and the largest that fits it.
         .withColumn("n2", F.least(F.col("n2"), F.floor(F.col("n1") * 100 / percent)))
         .filter(_may_link(percent, F.col("k") + 2))
-        .select("c1", "c2")
+        .select("star1", "star2")
+    )
+    stars = marked.groupBy("star").agg(
+        F.min("n").alias("low"),
+        F.max("beyond").alias("most"),
+        ((F.count(F.lit(1)) == 1) & (F.min("class_id") == F.col("star"))).alias("single"),
+    )
+    one, two = (stars.select(*[F.col(c).alias(f"{c}{i}") for c in stars.columns]) for i in (1, 2))
+    met = stored(met.join(one, "star1").join(two, "star2"), "met")
+    single = F.col("single1") & F.col("single2")
+    direct = met.filter(single).select(F.col("star1").alias("a"), F.col("star2").alias("b"))
+
+    centres = met.filter(~single).select(F.col("star1").alias("a"), F.col("star2").alias("b"), "low2", "most2")
+    shared = _overlaps(centres, _whole_sets(docs, centres, words)).groupBy("a", "b").agg(F.max("k").alias("k"))
+    left = marked.select(F.col("star").alias("a"), F.col("class_id").alias("m1"), F.col("n").alias("n1"), F.col("beyond").alias("b1"))
+    right = marked.select(F.col("star").alias("b"), F.col("class_id").alias("m2"), F.col("n").alias("n2"), F.col("beyond").alias("b2"))
+    least = F.greatest(F.col("low2"), F.ceil(F.col("n1") * percent / 100))
+    reach1 = F.col("k") + F.col("b1") + F.col("most2") >= F.ceil(F.lit(percent) * (F.col("n1") + least) / F.lit(100 + percent))
+    known = centres.join(shared, ["a", "b"])
+    half = known.join(left, (known["a"] == left["a"]) & reach1).drop(left["a"])
+    reach2 = F.col("k") + F.col("b1") + F.col("b2") >= _needed(percent)
+    across = half.join(right, (half["b"] == right["b"]) & _sizes_fit(percent) & reach2).select(
+        F.col("m1").alias("a"), F.col("m2").alias("b")
     )
-    left = marked.select(F.col("comp").alias("c1"), F.col("class_id").alias("a"), F.col("n").alias("n1"))
-    right = marked.select(F.col("comp").alias("c2"), F.col("class_id").alias("b"), F.col("n").alias("n2"))
-    across = met.join(left, "c1").join(right, "c2").filter(_sizes_fit(percent)).select("a", "b")
     # Inside one group: equal prefixes, different sets, still in different components.
-    split = held.groupBy("g").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("g")
+    split = marked.groupBy("g").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).filter("c1 < c2").select("g")
     own = marked.join(split, "g", "left_semi")
     left = own.select("g", F.col("comp").alias("c1"), F.col("class_id").alias("a"))
     right = own.select("g", F.col("comp").alias("c2"), F.col("class_id").alias("b"))
     inside = left.join(right, "g").filter("c1 < c2").select("a", "b")
-    return across.unionByName(inside).distinct()
+    return direct.unionByName(across).unionByName(inside).distinct()
 
 
 def one_per_component(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
