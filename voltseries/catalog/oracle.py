@@ -843,6 +843,65 @@ SQL["rule_report_weather_mart"] = _rules(
     ],
     ("unique:asset_id,date", "error", "asset_id, date"),
 )
+
+
+def _nulls(*columns: str) -> list[tuple[str, str]]:
+    return [(f"not_null:{c}", f"{c} IS NULL") for c in columns]
+
+
+def _outside(*ranges: tuple[str, float, float]) -> list[tuple[str, str]]:
+    return [(f"accepted_range:{c}", f"NOT {c} BETWEEN {low} AND {high}") for c, low, high in ranges]
+
+
+def _other_kind(column: str = "asset_type") -> tuple[str, str]:
+    return f"accepted_values:{column}", f"{column} NOT IN {_KINDS}"
+
+
+def _output(column: str) -> tuple[str, str]:
+    return f"accepted_range:{column}", f"asset_type <> 'battery' AND NOT {column} BETWEEN 0 AND 1.1"
+
+
+_HOUR_KEY, _DAY_KEY = "asset_id, timestamp", "asset_id, date"
+SQL["rule_report_raw_weather"] = _rules(
+    "raw_weather",
+    _nulls("timestamp", "asset_id", "wind_speed_mps", "wind_direction_deg", "ghi", "temperature_c",
+           "pressure_hpa", "relative_humidity")
+    + _outside(("wind_speed_mps", 0, 50), ("wind_direction_deg", 0, 360), ("ghi", 0, 1500),
+               ("temperature_c", -50, 60), ("pressure_hpa", 900, 1100), ("relative_humidity", 0, 100)),
+    ("unique:asset_id,timestamp", "warn", _HOUR_KEY),
+)
+SQL["rule_report_stg_weather"] = _rules(
+    "stg_weather",
+    _nulls("timestamp", "asset_id", "wind_speed_mps", "ghi", "is_data_complete"),
+    ("unique:asset_id,timestamp", "error", _HOUR_KEY),
+)
+SQL["rule_report_stg_generation"] = _rules(
+    "stg_generation",
+    _nulls("timestamp", "asset_id", "asset_type", "net_generation_mwh", "capacity_factor", "is_data_valid")
+    + [_other_kind(), _output("capacity_factor")],
+    ("unique:asset_id,timestamp", "error", _HOUR_KEY),
+)
+SQL["rule_report_weather_daily"] = _rules(
+    "weather_daily", _nulls("asset_id", "date"), ("unique:asset_id,date", "error", _DAY_KEY)
+)
+SQL["rule_report_generation_daily"] = _rules(
+    "generation_daily",
+    _nulls("asset_id", "date", "total_net_generation_mwh") + [_output("daily_capacity_factor")],
+    ("unique:asset_id,date", "error", _DAY_KEY),
+)
+SQL["rule_report_join"] = _rules(
+    "joined", _nulls("timestamp", "asset_id", "is_complete_record"), ("unique:asset_id,timestamp", "error", _HOUR_KEY)
+)
+SQL["rule_report_daily_mart"] = _rules(
+    "daily_mart",
+    _nulls("asset_id", "date", "asset_type", "total_net_generation_mwh", "daily_capacity_factor")
+    + [_other_kind(), _output("daily_capacity_factor")]
+    + _outside(("avg_availability_pct", 0, 100)),
+    ("unique:asset_id,date", "error", _DAY_KEY),
+)
+SQL["rule_report_dim_asset"] = _rules(
+    "dim_asset", _nulls("asset_id") + [_other_kind()], ("unique:asset_id", "error", "asset_id")
+)
 SQL["failing_rows"] = """
 SELECT asset_id, timestamp, concat_ws(',',
     CASE WHEN net_generation_mwh IS NULL THEN 'not_null:net_generation_mwh' END,
@@ -852,6 +911,7 @@ SELECT asset_id, timestamp, concat_ws(',',
 FROM stg_generation
 WHERE net_generation_mwh IS NULL OR capacity_factor IS NULL
   OR (asset_type <> 'battery' AND (capacity_factor < 0 OR capacity_factor > 1.1))"""
+SQL["stored_failures"] = SQL["failing_rows"]
 SQL["unique_violations"] = """
 SELECT asset_id, timestamp, COUNT(*) AS n_records FROM raw_generation
 GROUP BY asset_id, timestamp HAVING COUNT(*) > 1"""

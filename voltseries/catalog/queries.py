@@ -565,6 +565,35 @@ def rule_report(f: Fleet) -> DataFrame:
     return quality.rule_report(f.raw_generation, quality.RAW_GENERATION_RULES)
 
 
+def _report_query(table: str, frame: str, rules: str) -> None:
+    def report(f: Fleet) -> DataFrame:
+        return quality.rule_report(getattr(f, frame), getattr(quality, rules))
+
+    QUERIES[f"rule_report_{table}"] = report
+
+
+for _table, _frame, _rules in (
+    ("raw_weather", "raw_weather", "RAW_WEATHER_RULES"),
+    ("stg_weather", "stg_weather", "STG_WEATHER_RULES"),
+    ("stg_generation", "stg_generation", "STG_GENERATION_RULES"),
+    ("weather_daily", "weather_daily", "INT_WEATHER_DAILY_RULES"),
+    ("generation_daily", "generation_daily", "INT_GENERATION_DAILY_RULES"),
+    ("join", "joined", "INT_JOIN_RULES"),
+    ("daily_mart", "daily_mart", "DAILY_MART_RULES"),
+    ("dim_asset", "dim_asset", "DIM_ASSET_RULES"),
+):
+    _report_query(_table, _frame, _rules)
+
+
+@_query
+def stored_failures(f: Fleet) -> DataFrame:
+    """Failing rows written for review and read back."""
+    folder = f.scratch("failures")
+    quality.store_failures(f.stg_generation, quality.STG_GENERATION_RULES, folder)
+    rows = f.spark.read.parquet(f"{folder}/rows")
+    return rows.select(*KEYS, F.concat_ws(",", "failed_rules").alias("failed_rules"))
+
+
 @_query
 def rule_report_weather_mart(f: Fleet) -> DataFrame:
     return quality.rule_report(f.weather_mart, quality.WEATHER_MART_RULES)

@@ -10,17 +10,6 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def hour_start(ts: Column | str) -> Column:
-    """The start of the hour as ``timestamp_ntz``.
-
-    ``date_trunc`` would go through ``timestamp`` and so through the session zone.
-    """
-    ts = _col(ts)
-    return F.make_timestamp_ntz(
-        F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.lit(0), F.lit(0)
-    )
-
-
 def day_of(ts: Column | str) -> Column:
     return _col(ts).cast("date")
 

@@ -5,10 +5,11 @@ for a keyed series whose length is bounded by the calendar, and wrong for an
 unkeyed table or a key that may hold any share of the rows. The functions here
 cut such a series into ranges first:
 
-1. range-partition on the full order, write the ranges as a table in the shared
-   scratch folder (so that the ranges stay fixed if executors are lost);
+1. range-partition on the full order, sort each range, number its rows as they are
+   written, and keep the ranges as a table in the shared scratch folder (so that ranges
+   and numbers stay fixed if executors are lost);
 2. count rows per range, and turn the counts into a start position per range;
-3. position = start of the range + row number inside the range.
+3. position = start of the range + number inside the range. No second shuffle is needed.
 
 Frames of bounded length then run per fixed block of positions, each block also
 getting the few rows before (or after) it that its frames reach into.
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from voltseries.session import scratch_path
 
 _RANGE = "_range"
+_INSIDE = "_inside"
 _POSITION = "_position"
 _BLOCK = "_block"
 _OWN = "_own"
@@ -44,8 +46,18 @@ def with_position(
     order = [F.col(c).asc_nulls_first() for c in order_by]
     cut = df.repartitionByRange(ranges, *order) if ranges else df.repartitionByRange(*order)
     path = scratch_path(spark, "ranges")
-    cut.withColumn(_RANGE, F.spark_partition_id()).write.parquet(path)
-    fixed = spark.read.parquet(path)
+    # The id holds the partition in its upper 31 bits and the row in the lower 33.
+    (
+        cut.sortWithinPartitions(*order)
+        .withColumn(_INSIDE, F.monotonically_increasing_id())
+        .write.parquet(path)
+    )
+    fixed = spark.read.parquet(path).withColumns(
+        {
+            _RANGE: F.shiftright(F.col(_INSIDE), 33),
+            _INSIDE: F.col(_INSIDE).bitwiseAND(F.lit((1 << 33) - 1)),
+        }
+    )
 
     # One row per range: the number of ranges is the number of shuffle
     # partitions, whatever the number of rows.
@@ -60,11 +72,10 @@ def with_position(
         )
         .select(_RANGE, F.coalesce("_start", F.lit(0)).alias("_start"))
     )
-    in_range = Window.partitionBy(_RANGE).orderBy(*order)
     return (
         fixed.join(F.broadcast(starts), _RANGE)
-        .withColumn(position, F.col("_start") + F.row_number().over(in_range) - 1)
-        .drop(_RANGE, "_start")
+        .withColumn(position, F.col("_start") + F.col(_INSIDE))
+        .drop(_RANGE, _INSIDE, "_start")
     )
 
 

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voltseries.functions.categories import TECHNOLOGIES
 from voltseries.functions.numeric import true_when
 
 # Limits of the standing checks.
@@ -242,9 +243,8 @@ def data_age(df: DataFrame, now: dt.datetime, date_col: str = "date") -> DataFra
     )
 
 
-# Standing rules of the tables.
+# Standing rules of the tables.
 _OUTPUT_RANGE = dict(low=0, high=1.1, where="asset_type <> 'battery'")
-_KINDS = ("wind", "solar", "battery", "gas")
 
 RAW_WEATHER_RULES: tuple[Rule, ...] = (
     *[
@@ -270,7 +270,7 @@ RAW_GENERATION_RULES: tuple[Rule, ...] = (
             "net_generation_mwh", "curtailment_mwh", "availability_pct", "asset_capacity_mw",
         )
     ],
-    accepted_values("asset_type", _KINDS),
+    accepted_values("asset_type", TECHNOLOGIES),
     accepted_range("gross_generation_mwh", 0),
     accepted_range("net_generation_mwh", 0, where="asset_type <> 'battery'"),
     accepted_range("curtailment_mwh", 0),
@@ -293,7 +293,7 @@ STG_GENERATION_RULES: tuple[Rule, ...] = (
             "is_data_valid",
         )
     ],
-    accepted_values("asset_type", _KINDS),
+    accepted_values("asset_type", TECHNOLOGIES),
     accepted_range("capacity_factor", **_OUTPUT_RANGE),
     unique("asset_id", "timestamp"),
 )
@@ -323,7 +323,7 @@ DAILY_MART_RULES: tuple[Rule, ...] = (
             "daily_capacity_factor",
         )
     ],
-    accepted_values("asset_type", _KINDS),
+    accepted_values("asset_type", TECHNOLOGIES),
     accepted_range("daily_capacity_factor", **_OUTPUT_RANGE),
     accepted_range("avg_availability_pct", 0, 100),
     unique("asset_id", "date"),
@@ -331,7 +331,7 @@ DAILY_MART_RULES: tuple[Rule, ...] = (
 DIM_ASSET_RULES: tuple[Rule, ...] = (
     not_null("asset_id"),
     unique("asset_id"),
-    accepted_values("asset_type", _KINDS),
+    accepted_values("asset_type", TECHNOLOGIES),
 )
 WEATHER_MART_RULES: tuple[Rule, ...] = (
     *[
@@ -341,6 +341,6 @@ WEATHER_MART_RULES: tuple[Rule, ...] = (
     accepted_range("wind_generation_correlation", -1, 1),
     accepted_range("solar_generation_correlation", -1, 1),
     accepted_range("performance_score", 0, 100),
-    accepted_values("inferred_asset_type", _KINDS),
+    accepted_values("inferred_asset_type", TECHNOLOGIES),
     unique("asset_id", "date"),
 )

@@ -133,19 +133,6 @@ def overwrite_table(df: DataFrame, path: str) -> bool:
     return True
 
 
-def added_columns(old: DataFrame | None, new: DataFrame) -> list[str]:
-    """Columns of ``new`` that ``old`` lacks."""
-    known = set(old.columns) if old is not None else set()
-    return [c for c in new.columns if c not in known]
-
-
-def merge_latest(
-    base: DataFrame, batch: DataFrame, keys: Sequence[str], version: str = LOAD_ID
-) -> DataFrame:
-    """Union by name (missing columns NULL on either side) and newest row per key."""
-    return keep_latest(base.unionByName(batch, allowMissingColumns=True), keys, version)
-
-
 def _days_of(
     spark: SparkSession, path: str, schema: T.StructType, days: Sequence[dt.date | None]
 ) -> DataFrame:
