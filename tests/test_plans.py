@@ -16,7 +16,8 @@ STORING = {
     "lag_lead_whole_table", "rolling_stats_whole_table", "rolling_stats_split_series",
     "rank_signal", "net_load", "upsert_latest", "parquet_roundtrip", "json_export_roundtrip",
     "weather_json_roundtrip", "assets_json_roundtrip", "flatten_hourly_payload",
-    "csv_seed_roundtrip", "contract_checked_mart",
+    "csv_seed_roundtrip", "contract_checked_mart", "contract_daily_mart", "contract_dim_asset",
+    "upsert_weather", "schema_evolution", "stored_failures", "correlation_job_summary",
 }
 
 
@@ -76,12 +77,15 @@ def test_join_reuses_the_shuffle_of_the_deduplication(spark, static_plans):
     assert plan.count("WindowGroupLimit") == 4  # cut before and after each shuffle
 
 
-def test_weather_mart_scans_and_shuffles_its_inputs_once(spark, static_plans):
-    plan = physical_plan(Fleet(spark, FOLDER).weather_mart)
-    assert plan.count("FileScan") == 2
-    assert plan.count("ReusedExchange") == 2
-    # Two de-duplications, the models, and the hours for the join with the models.
-    assert len(re.findall(r"[-*] Exchange hashpartitioning", plan)) == 4
+def test_weather_mart_joins_the_hours_once(spark, static_plans):
+    fleet = Fleet(spark, FOLDER)
+    staged = physical_plan(fleet.joined)
+    assert staged.count("Join") == 1
+    assert len(re.findall(r"[-*+] Window ", staged)) == 2
+    plan = physical_plan(fleet.weather_mart)
+    # The staged hours, for the models and for the scores; one shuffle of each by asset.
+    assert plan.count("FileScan") == 2 and plan.count("WindowGroupLimit") == 0
+    assert len(re.findall(r"[-*+] Exchange hashpartitioning", plan)) == 2
 
 
 def test_daily_rollup_needs_no_second_sort_before_its_shuffle(spark, static_plans):

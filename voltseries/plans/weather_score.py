@@ -14,6 +14,7 @@ from voltseries.functions.numeric import (
     safe_intercept,
     safe_slope,
 )
+from voltseries.session import scratch_path
 
 NET, CF, WIND, SUN = "net_generation_mwh", "capacity_factor", "wind_speed_mps", "ghi"
 
@@ -165,17 +166,30 @@ def rolling_means(days: DataFrame) -> DataFrame:
     )
 
 
+def staged_hours(joined: DataFrame) -> DataFrame:
+    """The complete hours as a table in the scratch folder, clustered by asset.
+
+    They are read twice, for the models and for the scores. Stored, the
+    de-duplication, its sorts and the hourly join run once instead of twice.
+    """
+    hours = complete_hours(joined)
+    path = scratch_path(joined.sparkSession, "hours")
+    hours.write.parquet(path)
+    return joined.sparkSession.read.schema(hours.schema).parquet(path)
+
+
 def mart_asset_weather_performance(
     joined: DataFrame, models: DataFrame | None = None
 ) -> DataFrame:
     """The weather-adjusted mart, one row per asset and day.
 
-    ``models`` may be a stored copy of ``asset_models``; by default it is part of
-    the plan, and both passes over the hours read the same shuffles.
+    Without a stored copy of ``asset_models`` the hours are staged first.
     """
-    hours = complete_hours(joined)
     if models is None:
+        hours = staged_hours(joined)
         models = asset_models(hours)
+    else:
+        hours = complete_hours(joined)
     days = rolling_means(daily_scores(hours, models))
     return days.select(
         "asset_id", "date", "asset_capacity_mw",
