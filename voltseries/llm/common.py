@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltseries.session import scratch_path
 
 # Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+ARROW_ROWS = 500
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -21,9 +22,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def folder_reader(name: str):
-    """``table(spark, folder)`` for one of the input tables."""
-    return lambda spark, folder: spark.read.parquet(f"{folder}/{name}.parquet")
+def small_batches(spark: SparkSession) -> None:
+    """Let Python tasks get at most ARROW_ROWS texts at once, or fewer if so set.
+
+    Ten thousand texts, the default, may be any number of bytes; both sides of the
+    exchange hold a whole batch.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= ARROW_ROWS:
+        spark.conf.set(key, str(ARROW_ROWS))
 
 
 def word_count(text: Column) -> Column:

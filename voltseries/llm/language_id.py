@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltseries.llm.common import stored, unit_hash
+from voltseries.llm.common import small_batches, stored, unit_hash
 
 FIT_ROWS = 2000
 MAX_LANGUAGES = 32
@@ -158,6 +158,7 @@ def identify(rows: DataFrame, fit_rows: int = FIT_ROWS, max_languages: int = MAX
     ``rows`` has id, text, declared, host and suffix.
     """
     spark = rows.sparkSession
+    small_batches(spark)
     # Blanks around a text let its first and last letters count.
     text = F.concat(F.lit(" "), F.coalesce("text", F.lit("")), F.lit(" "))
     rows = rows.withColumn("text", text)

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voltseries.llm.common import small_batches
+
 ROUNDS = 10
 DEFAULT_KEY = b"voltseries"  # a parameter; keep a real one secret
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -253,6 +255,7 @@ def _replacing(at: int, key: bytes, back: bool, count: bool):
 
 def pseudonymise(docs: DataFrame, key: bytes = DEFAULT_KEY, count: bool = False) -> DataFrame:
     """``docs`` with pseudonyms in ``text``; with ``count`` also n_values and kinds."""
+    small_batches(docs.sparkSession)
     docs = docs.withColumn("text", F.col("text").cast("string"))
     schema = docs.schema
     if count:

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_PIECE = 1 << 19  # bytes of text hashed in one step, at least one document
+_PIECE = 1 << 18  # bytes of text hashed in one step, at least one document
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
