@@ -52,7 +52,7 @@ def test_text_overrules_a_wrong_declaration(documents):
 def test_noise_and_empty_texts_are_rejected(documents):
     rng = random.Random(5)
     noise = " ".join("".join(rng.choice("qxzjkvw") for _ in range(7)) for _ in range(60))
-    rows = [*corpus(), (1000, noise, "en", "host-en", 0), (1001, None, "en", "host-en", 0), (1002, "12 34 !?", "en", "host-en", 0)]
+    rows = [*corpus(), (1000, noise, None, "host-en", 0), (1001, None, "en", "host-en", 0), (1002, "12 34 !?", "en", "host-en", 0)]
     docs = documents(rows)
     found = {r["doc_id"]: r for r in identify_documents(docs).collect()}
     assert [found[i]["reason"] for i in (1000, 1001, 1002)] == ["no known language", "no letters", "no letters"]

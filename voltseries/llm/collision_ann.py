@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltseries.llm.common import stored
+from voltseries.llm.common import ready_python, stored
 
 PROJECTIONS = 128
 COLLISIONS = 0.7
@@ -134,6 +134,7 @@ def nearest(embeddings: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
 
     Queries are the rows whose id is divisible by ``every``; all rows are candidates.
     """
+    ready_python(embeddings.sparkSession)
     vectors = stored(valid_vectors(embeddings), "vectors").withColumn("dim", F.size("v"))
     # One row per dimension and kind: counts that fix the number of blocks.
     sizes = vectors.groupBy("dim").agg(

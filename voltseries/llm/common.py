@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import voltseries
 from voltseries.session import scratch_path
 
 # Words are runs of anything but ASCII white space.
@@ -22,15 +27,27 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Let Python tasks get at most ARROW_ROWS texts at once, or fewer if so set.
+_shipped: set[str] = set()
+
+
+def ready_python(spark: SparkSession) -> None:
+    """Make Python tasks find this package, and give them small batches.
 
-    Ten thousand texts, the default, may be any number of bytes; both sides of the
-    exchange hold a whole batch.
+    The package is sent along with the session once, for workers that cannot import it
+    from where they start. A batch has at most ARROW_ROWS texts, or fewer if so set: ten
+    thousand, the default, may be any number of bytes, and both sides hold a whole batch.
     """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= ARROW_ROWS:
         spark.conf.set(key, str(ARROW_ROWS))
+    package, app = Path(voltseries.__file__).parent, spark.sparkContext.applicationId
+    if app not in _shipped and package.is_dir():
+        archive = Path(tempfile.mkdtemp(prefix="voltseries-code-")) / "voltseries.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for source in sorted(package.rglob("*.py")):
+                out.write(source, source.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(archive))
+        _shipped.add(app)
 
 
 def word_count(text: Column) -> Column:

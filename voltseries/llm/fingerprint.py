@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltseries.llm.common import small_batches, stored
+from voltseries.llm.common import ready_python, stored
 
 BUCKETS = 256
 FARTHEST = 512  # difference from which two texts count as fully unlike
@@ -146,7 +146,7 @@ def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fingerprint_pairs(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
-    small_batches(docs.sparkSession)
+    ready_python(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text")]

@@ -14,7 +14,7 @@ by a hash of the id, for the ``MAX_LANGUAGES`` most frequent declared languages.
 else covers all rows.
 
 A row is accepted if its text has letters, its best language has a posterior of at least
-``MIN_POSTERIOR``, and its trigrams are closer to that language than to noise. A rejected
+``MIN_POSTERIOR``, and its trigrams are not mere noise to that language. A rejected
 row keeps its best guess in ``language`` and names the reason; without letters it is "und".
 Texts of fewer than ``NOISE_TRIGRAMS`` trigrams are not held against noise.
 
@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltseries.llm.common import small_batches, stored, unit_hash
+from voltseries.llm.common import ready_python, stored, unit_hash
 
 FIT_ROWS = 2000
 MAX_LANGUAGES = 32
@@ -43,7 +43,9 @@ DECLARED_TRUST = 0.9
 SUFFIX_TRUST = 0.7
 SMOOTHING = 10.0
 MIN_POSTERIOR = 0.5
-NOISE_TRIGRAMS = 50  # a shorter text is not held against noise
+NOISE = -BITS * float(np.log(2))  # log-probability of a trigram by chance
+NOISE_SHARE = 0.25  # of the way from noise to a language's own texts; below is noise
+NOISE_TRIGRAMS = 100  # a shorter text is not held against noise
 MAX_SMALL = 100_000  # rejected ids that may be broadcast (under 4 MB)
 # Address suffixes that belong to one language.
 SUFFIXES = {
@@ -114,7 +116,9 @@ def fit(rows: DataFrame, fit_rows: int = FIT_ROWS, max_languages: int = MAX_LANG
     counts = np.full((len(names), 1 << BITS), 0.1)
     line = table["lang"].map({n: i for i, n in enumerate(names)})
     counts[line.to_numpy(), table["gram"].to_numpy()] += table["n"].to_numpy()
-    logs = np.log(counts / counts.sum(axis=1, keepdims=True))
+    # What a language never wrote counts as noise, not as evidence against it: numbers,
+    # keys and names are in texts of any language.
+    logs = np.maximum(np.log(counts / counts.sum(axis=1, keepdims=True)), NOISE)
     return names, np.hstack([logs, np.zeros((len(names), 1))])
 
 
@@ -158,7 +162,7 @@ def identify(rows: DataFrame, fit_rows: int = FIT_ROWS, max_languages: int = MAX
     ``rows`` has id, text, declared, host and suffix.
     """
     spark = rows.sparkSession
-    small_batches(spark)
+    ready_python(spark)
     # Blanks around a text let its first and last letters count.
     text = F.concat(F.lit(" "), F.coalesce("text", F.lit("")), F.lit(" "))
     rows = rows.withColumn("text", text)
@@ -171,8 +175,7 @@ def identify(rows: DataFrame, fit_rows: int = FIT_ROWS, max_languages: int = MAX
     model = spark.sparkContext.broadcast(logs)
     # A language's own texts have about the mean log-probability of its model.
     own = (np.exp(logs[:, :-1]) * logs[:, :-1]).sum(axis=1)
-    noise = -np.log(1 << BITS)
-    least = F.array(*[F.lit(float((x + noise) / 2)) for x in own])
+    least = F.array(*[F.lit(float(NOISE + NOISE_SHARE * (x - NOISE))) for x in own])
 
     scored = stored(
         rows.select("id", "declared", "host", "suffix", "text").mapInArrow(

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltseries.llm.common import small_batches, stored
+from voltseries.llm.common import ready_python, stored
 from voltseries.llm.components import component_labels
 from voltseries.llm.shingles import list_array, shingle_sets
 
@@ -203,7 +203,7 @@ def ngram_classes(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFra
     id reachable by links; both are the own id for a document without links.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    ready_python(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     common = spark.sparkContext.broadcast(_common_shingles(docs, words))
     prepared = stored(

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltseries.llm.common import small_batches
+from voltseries.llm.common import ready_python
 
 ROUNDS = 10
 DEFAULT_KEY = b"voltseries"  # a parameter; keep a real one secret
@@ -255,7 +255,7 @@ def _replacing(at: int, key: bytes, back: bool, count: bool):
 
 def pseudonymise(docs: DataFrame, key: bytes = DEFAULT_KEY, count: bool = False) -> DataFrame:
     """``docs`` with pseudonyms in ``text``; with ``count`` also n_values and kinds."""
-    small_batches(docs.sparkSession)
+    ready_python(docs.sparkSession)
     docs = docs.withColumn("text", F.col("text").cast("string"))
     schema = docs.schema
     if count:
@@ -265,5 +265,6 @@ def pseudonymise(docs: DataFrame, key: bytes = DEFAULT_KEY, count: bool = False)
 
 def restore(docs: DataFrame, key: bytes = DEFAULT_KEY) -> DataFrame:
     """Undo ``pseudonymise`` for whoever holds the key."""
+    ready_python(docs.sparkSession)
     docs = docs.withColumn("text", F.col("text").cast("string"))
     return docs.mapInArrow(_replacing(docs.columns.index("text"), key, True, False), docs.schema)
