@@ -98,8 +98,8 @@ def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def fit(rows: DataFrame, fit_rows: int = FIT_ROWS, max_languages: int = MAX_LANGUAGES) -> tuple[list[str], np.ndarray]:
-    """Languages, and log-probabilities of the trigrams (one row per language).
+def fit(rows: DataFrame, fit_rows: int = FIT_ROWS, max_languages: int = MAX_LANGUAGES) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Languages, log-probabilities of the trigrams (a row each), and their mean over own texts.
 
     ``rows`` has id, text and declared.
     """
@@ -107,19 +107,21 @@ def fit(rows: DataFrame, fit_rows: int = FIT_ROWS, max_languages: int = MAX_LANG
     seen = declared.groupBy("declared").count().orderBy(F.desc("count"), "declared").limit(max_languages).collect()
     names = sorted(r["declared"] for r in seen)
     if not names:
-        return [], np.zeros((0, (1 << BITS) + 1))
+        return [], np.zeros((0, (1 << BITS) + 1)), np.zeros(0)
     share = F.create_map(*[F.lit(x) for r in seen for x in (r["declared"], min(1.0, fit_rows / r["count"]))])
     some = declared.filter(unit_hash(F.col("id")) < share[F.col("declared")])
     found = some.select("declared", "text").mapInArrow(_counting, "lang string, gram long, n long")
     # At most 65,536 numbers per language.
     table = found.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.full((len(names), 1 << BITS), 0.1)
+    counts = np.zeros((len(names), 1 << BITS))
     line = table["lang"].map({n: i for i, n in enumerate(names)})
     counts[line.to_numpy(), table["gram"].to_numpy()] += table["n"].to_numpy()
     # What a language never wrote counts as noise, not as evidence against it: numbers,
     # keys and names are in texts of any language.
-    logs = np.maximum(np.log(counts / counts.sum(axis=1, keepdims=True)), NOISE)
-    return names, np.hstack([logs, np.zeros((len(names), 1))])
+    smooth = counts + 0.1
+    logs = np.maximum(np.log(smooth / smooth.sum(axis=1, keepdims=True)), NOISE)
+    own = (counts * logs).sum(axis=1) / np.maximum(counts.sum(axis=1), 1)
+    return names, np.hstack([logs, np.zeros((len(names), 1))]), own
 
 
 def _scoring(model):
@@ -166,15 +168,13 @@ def identify(rows: DataFrame, fit_rows: int = FIT_ROWS, max_languages: int = MAX
     # Blanks around a text let its first and last letters count.
     text = F.concat(F.lit(" "), F.coalesce("text", F.lit("")), F.lit(" "))
     rows = rows.withColumn("text", text)
-    names, logs = fit(rows, fit_rows, max_languages)
+    names, logs, own = fit(rows, fit_rows, max_languages)
     if not names:
         return rows.select(
             "id", "declared", "host", "suffix", F.lit("und").alias("language"), F.lit(0.0).alias("posterior"),
             F.lit(False).alias("accepted"), F.lit("no model").alias("reason"),
         )
     model = spark.sparkContext.broadcast(logs)
-    # A language's own texts have about the mean log-probability of its model.
-    own = (np.exp(logs[:, :-1]) * logs[:, :-1]).sum(axis=1)
     least = F.array(*[F.lit(float(NOISE + NOISE_SHARE * (x - NOISE))) for x in own])
 
     scored = stored(
