@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 def with_technology(rows: DataFrame, assets: DataFrame, default: str = "") -> DataFrame:
     """Add ``technology``: the row's own type, else the dimension's, else a default.
 
-    Empty text counts as missing.
+    An own type of empty text counts as missing; the dimension's text is taken as it is.
     """
     lookup = assets.select("asset_id", F.col("asset_type").alias("_dim_type"))
     own = F.nullif(F.col("asset_type"), F.lit("")) if "asset_type" in rows.columns else F.lit(None)
@@ -23,7 +23,7 @@ def with_technology(rows: DataFrame, assets: DataFrame, default: str = "") -> Da
         rows.join(lookup, "asset_id", "left")
         .withColumn(
             "technology",
-            F.coalesce(own, F.nullif(F.col("_dim_type"), F.lit("")), F.lit(default)),
+            F.coalesce(own, F.col("_dim_type"), F.lit(default)),
         )
         .drop("_dim_type")
     )
