@@ -2,7 +2,7 @@
 
 Texts are cut into sequences of at most ``context`` tokens (words). Dynamic programming
 over the histogram of all lengths finds the ``buckets`` upper bounds that pad the fewest
-tokens. Inside a bucket, sequences are dealt by hash to groups of about GROUP_ROWS, and
+tokens. Inside a bucket, sequences are dealt by hash to groups of about GROUP_TOKENS, and
 each group fills batches of as many sequences as the token budget holds at the bucket's
 width; so a bucket of any size is packed in parallel, with one partial batch per group.
 
@@ -21,7 +21,7 @@ from voltseries.llm.common import WORD, word_count
 CONTEXT = 2048
 BUCKETS = 8
 BUDGET = 16_384
-GROUP_ROWS = 20_000
+GROUP_TOKENS = 4_000_000  # padded tokens of a group: about 250 batches, some 25 MB of text
 SEED = 23
 
 
@@ -108,7 +108,7 @@ def pack(
         return column
 
     key = F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), "piece", "text")
-    groups = per_bucket([max(1, -(-n // GROUP_ROWS)) for n in rows])
+    groups = per_bucket([max(1, -(-n * b // GROUP_TOKENS)) for n, b in zip(rows, bounds, strict=True)])
     holds = per_bucket([max(1, budget // max(b, 1)) for b in bounds])
     keyed = sequences(docs, context).select(
         "*", per_bucket(bounds).cast("int").alias("bucket"), holds.alias("_holds"), key.alias("_key")
