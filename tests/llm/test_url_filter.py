@@ -1,4 +1,6 @@
-from voltseries.llm.url_filter import BASE_RULES, Rule, judge_urls
+import re
+
+from voltseries.llm.url_filter import BASE_RULES, PATTERN_RULES, Rule, judge_urls
 
 
 def pages(spark, urls):
@@ -67,6 +69,18 @@ def test_patterns_decide_where_no_base_rule_fits(spark):
     assert found[3] == ("org/", "allow", None)
 
 
+def test_every_form_of_a_pattern_is_fetched(spark):
+    urls = [
+        *(f"http://x.net/{p}" for p in ("track/1", "tracking/1", "a/tracker/", "tracks/1", "tracking", "tracking/login", "wp-login/")),
+        *(f"http://{h}/a" for h in ("ad.x.net", "ads.x.net", "adx.net", "a.pills.x", "bets-1.net", "casino.net", "free-a.net", "cheap.net")),
+    ]
+    found = {r["page_id"]: (r["verdict"], r["pattern_rule"]) for r in judge_urls(pages(spark, urls)).collect()}
+    for i, url in enumerate(urls):
+        hits = [(-len(p), no, v, n) for no, (v, n, p, _) in enumerate(PATTERN_RULES) if re.search(p, url[7:])]
+        assert found[i] == (min(hits)[2:] if hits else ("allow", None)), url
+    assert [found[i] for i in range(3)] == [("block", "tracker")] * 3
+
+
 def test_own_rules_larger_priority_wins(spark):
     rules = [Rule("a", "block", "/x/", ("x",), 1, False), Rule("b", "allow", "/x/y", ("x",), 2, False)]
     found = {r["page_id"]: r["verdict"] for r in judge_urls(pages(spark, ["http://h/x/1", "http://h/x/y"]), rules).collect()}

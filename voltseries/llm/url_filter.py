@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import product
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +32,8 @@ BASE_RULES = (
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 )
-# Verdict, name, pattern, literal tokens of the pattern rules.
+# Verdict, name, pattern, literal tokens of the pattern rules. A token with
+# several forms (a|b) stands in one of them; the rule is filed once for each form.
 PATTERN_RULES = (
     ("block", "pills", r"^[^/]*(^|[.-])pills[.-]", ("pills",)),
     ("block", "bets", r"^[^/]*(^|[.-])bets[.-]", ("bets",)),
@@ -40,7 +42,7 @@ PATTERN_RULES = (
     ("block", "free", r"^[^/]*(^|[.-])free-[a-z0-9]+[.-]", ("free",)),
     ("block", "adserver", r"^ads?\.", ("ad",)),
     ("block", "adserver", r"^ads\.", ("ads",)),
-    ("block", "tracker", r"/track(ing|er)?/", ("track",)),
+    ("block", "tracker", r"/track(ing|er)?/", ("track|tracking|tracker",)),
     ("block", "login", r"/(wp-)?login/?$", ("login",)),
 )
 _RUN = "[a-z0-9]+"
@@ -66,7 +68,11 @@ def base_rule(verdict: str, host: str, path: str) -> Rule:
 
 
 def default_rules() -> list[Rule]:
-    named = [Rule(n, v, p, t, len(p), False) for v, n, p, t in PATTERN_RULES]
+    named = [
+        Rule(n, v, p, forms, len(p), False)
+        for v, n, p, tokens in PATTERN_RULES
+        for forms in product(*(t.split("|") for t in tokens))
+    ]
     return [base_rule(*r) for r in BASE_RULES] + named
 
 
