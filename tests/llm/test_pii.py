@@ -55,6 +55,17 @@ def test_values_keep_their_format_and_come_back(kind):
             ).replace("A", "9")
 
 
+@pytest.mark.parametrize("kind", VALUES)
+def test_values_in_brackets_or_after_a_plus_sign(kind):
+    for value in VALUES[kind]:
+        free = pseudonymised(f"x {value} y", Cipher(KEY))[2:-2]
+        for a, b in [("(", ")"), ("((", "))"), ("[(", ",")] + [("+", "")] * (value == "8.8.8.8"):
+            seen = {}
+            new = pseudonymised(f"before {a}{value}{b} after", Cipher(KEY), seen)
+            assert new == f"before {a}{free}{b} after" and seen == {kind: 1}, (kind, value, new)
+            assert pseudonymised(new, Cipher(KEY, back=True)) == f"before {a}{value}{b} after"
+
+
 def test_pseudonyms_are_valid():
     cipher = Cipher(KEY)
     rng = random.Random(1)

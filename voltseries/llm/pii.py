@@ -190,7 +190,8 @@ _NUMBER = re.compile(
     r"|(?P<card>(?<!\w)\d(?:[ -]?\d){12,18}(?!\w))",
     re.ASCII,
 )
-_START = re.compile(r"\+\d|\(\d|\d+", re.ASCII)
+# A start consumes no digit that may start a value itself.
+_START = re.compile(r"\+(?=\d)|\((?=\d)|\d+", re.ASCII)
 _EMAIL = re.compile(r"(?<![\w.%+-])[\w.%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![\w@])", re.ASCII)
 _ACCOUNT = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)", re.ASCII)
 _ACCESS_KEY = re.compile(r"(?<!\w)AKIA[A-Z0-9]{16}(?!\w)", re.ASCII)
