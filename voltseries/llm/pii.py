@@ -6,6 +6,11 @@ over that range, and written back: separators, country codes, letter case and le
 stay, check digits are made right again. One key gives equal values equal pseudonyms in
 every document, and ``restore`` undoes them.
 
+Cards and accounts are found beside other digits and words too: where a reading fails, its
+shorter ones that end at a separator and then the later starts are tried. If the pseudonym
+would by chance make a reading valid that failed before, it is permuted again; only then
+does it differ from that of the same value elsewhere.
+
 Values that fail validation, and all other text, are left as they are. Defined cases: a
 null text stays null; null ids and repeated rows are kept; all other columns pass through
 unchanged; a text of any length is handled whole.
@@ -180,26 +185,195 @@ def refill(text: str, signs: str, pattern: str = r"\d") -> str:
     return re.sub(pattern, lambda _: next(new), text)
 
 
-# Patterns of values that start with a digit, a plus sign or a bracket.
+# Patterns of values, other than cards, that start with a digit, a plus sign or a bracket.
 _NUMBER = re.compile(
     r"(?P<address>(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d))"
     r"|(?P<date>(?<![\w.-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}([./])\d{1,2}\3\d{4})(?![\w-]|\.\d))"
     r"|(?P<social>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
     r"|(?P<phone>(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,4}(?!\w)"
-    r"|(?<![\w)-])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?![\w-]))"
-    r"|(?P<card>(?<!\w)\d(?:[ -]?\d){12,18}(?!\w))",
+    r"|(?<![\w)-])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?![\w-]))",
     re.ASCII,
 )
+# Groups of digits that may hold cards, and the usual ways to group a card.
+_DIGITS = re.compile(r"\d(?:[ -]?\d){12,}", re.ASCII)
+_GROUP = re.compile(r"\d+", re.ASCII)
+_CARD_GROUPS = {(4, 4, 4, 4), (4, 4, 4, 4, 3), (4, 6, 5), (4, 6, 4)}
 # A start consumes no digit that may start a value itself.
 _START = re.compile(r"\+(?=\d)|\((?=\d)|\d+", re.ASCII)
 _EMAIL = re.compile(r"(?<![\w.%+-])[\w.%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![\w@])", re.ASCII)
 _ACCOUNT = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)", re.ASCII)
+_LONGEST = 43  # signs of an account with its blanks
 _ACCESS_KEY = re.compile(r"(?<!\w)AKIA[A-Z0-9]{16}(?!\w)", re.ASCII)
 _SECRET = re.compile(
     r"(?i:\b(?:token|password|passwd|secret|api_?key))\s{0,3}[=:]\s{0,3}[\"']?([A-Za-z0-9+/_-]{8,200})(?![A-Za-z0-9+/_-])"
 )
 
 
+Reading = tuple[tuple[int, ...], int, int]  # rank, start and end; the smallest rank is tried first
+
+
+def _replaced(
+    text: str,
+    taken: list[Reading],
+    rivals: Callable[[str, Reading], list[Reading]],
+    valid: Callable[[str], bool],
+    change: Callable[[str], str],
+    back: bool,
+) -> str:
+    """The text with the taken readings changed, such that reading it again takes the same.
+
+    A change may by chance make a reading valid that was tried before and was not. The
+    value is then permuted again, as for results beyond a range, so ``back`` undoes it.
+    Readings keep their length; the last change is undone first.
+    """
+    for one in reversed(taken) if back else taken:
+        _, a, b = one
+        near = rivals(text, one)
+        while True:
+            text = text[:a] + change(text[a:b]) + text[b:]
+            if not any(valid(text[c:d]) for _, c, d in near):
+                break
+    return text
+
+
+def _before(one: Reading, other: Reading) -> bool:
+    """Whether one reading shares text with the other and is tried first."""
+    return one[0] < other[0] and one[1] < other[2] and other[1] < one[2]
+
+
+def _account_readings(text: str, start: int) -> Iterator[Reading]:
+    """The longest account from a place on, and its shorter readings that end at a blank."""
+    m = _ACCOUNT.match(text, start)
+    while m:
+        yield (start, -m.end()), start, m.end()
+        blank = text.rfind(" ", start, m.end())
+        m = _ACCOUNT.match(text, start, blank) if blank > 0 else None
+
+
+def _accounts(text: str, cipher: Cipher, seen: dict[str, int] | None) -> tuple[str, list[tuple[int, int]]]:
+    """The text with accounts replaced, and where they stand."""
+
+    def valid(value: str) -> bool:
+        plain = value.replace(" ", "")
+        return 15 <= len(plain) <= 34 and mod97(plain) == 1
+
+    taken: list[Reading] = []
+    m = _ACCOUNT.search(text)
+    while m:
+        found = next((r for r in _account_readings(text, m.start()) if valid(text[r[1] : r[2]])), None)
+        if found:
+            taken.append(found)
+        m = _ACCOUNT.search(text, found[2] if found else m.start() + 1)
+
+    def rivals(text: str, one: Reading) -> list[Reading]:
+        first = max([r[2] for r in taken if r[2] <= one[1]], default=0)
+        places = range(max(first, one[1] - _LONGEST), one[1] + 1)
+        return [r for i in places for r in _account_readings(text, i) if _before(r, one)]
+
+    if seen is not None and taken:
+        seen["account"] = seen.get("account", 0) + len(taken)
+    return _replaced(text, taken, rivals, valid, cipher.account, cipher.back), [r[1:] for r in taken]
+
+
+def _card_readings(text: str, groups: list[tuple[int, int]], i: int) -> tuple[list[int], list[int]]:
+    """Last groups of the cards that may start with group i: usually grouped ones, others.
+
+    Of the usual ones the shorter is tried first, as a security code may follow a card;
+    of the others the longer.
+    """
+    usual, other = [], []
+    a = groups[i][0]
+    if a and (text[a - 1] == "_" or text[a - 1].isascii() and text[a - 1].isalnum()):
+        return usual, other
+    sizes: list[int] = []
+    for j in range(i, min(i + 19, len(groups))):
+        c, d = groups[j]
+        sizes.append(d - c)
+        if sum(sizes) > 19:
+            break
+        after = text[d : d + 1]
+        if sum(sizes) < 13 or after == "_" or after.isascii() and after.isalnum():
+            continue
+        if j == i or tuple(sizes) in _CARD_GROUPS and len({text[e] for _, e in groups[i:j]}) == 1:
+            usual.append(j)
+        else:
+            other.insert(0, j)
+    return usual, other
+
+
+def _cards(text: str, cipher: Cipher, seen: dict[str, int] | None, spans: list[tuple[int, int]]) -> str:
+    """Cards outside of the spans; every group of digits may start one."""
+
+    def valid(value: str) -> bool:
+        plain = re.sub(r"\D", "", value)
+        return not luhn(plain) and len(set(plain)) > 1
+
+    def run(text: str, groups: list[tuple[int, int]]) -> str:
+        """Cards of neighbouring groups."""
+        readings = [_card_readings(text, groups, i) for i in range(len(groups))]
+        owner: list[Reading | None] = [None] * len(groups)
+        taken: list[Reading] = []
+        for kind in range(2):
+            for i in range(len(groups)):
+                for at, j in enumerate(readings[i][kind]):
+                    a, b = groups[i][0], groups[j][1]
+                    if not any(owner[i : j + 1]) and valid(text[a:b]):
+                        taken.append(((kind, i, at), a, b))
+                        owner[i : j + 1] = [taken[-1]] * (j + 1 - i)
+
+        def rivals(_: str, one: Reading) -> list[Reading]:
+            first = one[0][1]
+            near = []
+            for i in range(max(0, first - 18), len(groups)):
+                if groups[i][0] >= one[2]:
+                    break
+                for kind in range(2):
+                    for at, j in enumerate(readings[i][kind]):
+                        r = ((kind, i, at), groups[i][0], groups[j][1])
+                        if _before(r, one) and not any(o and o[0] < r[0] for o in owner[i : j + 1]):
+                            near.append(r)
+            return near
+
+        if seen is not None and taken:
+            seen["card"] = seen.get("card", 0) + len(taken)
+        a, b = groups[0][0], groups[-1][1]
+        # The digits alone are changed, so that a long text is not copied for every card.
+        moved = [(r, c - a, d - a) for r, c, d in taken]
+        return _replaced(
+            text[a:b], moved, lambda t, o: [(r, c - a, d - a) for r, c, d in rivals(t, (o[0], o[1] + a, o[2] + a))],
+            valid, cipher.card, cipher.back,
+        )
+
+    out, done, at = [], 0, 0
+    for m in _DIGITS.finditer(text):
+        groups: list[tuple[int, int]] = []
+        parts = [groups]
+        for g in _GROUP.finditer(text, m.start(), m.end()):
+            while at < len(spans) and spans[at][1] <= g.start():
+                at += 1
+            if at < len(spans) and spans[at][0] < g.end():
+                groups = []
+                parts.append(groups)
+            else:
+                groups.append(g.span())
+        for groups in parts:
+            if groups:
+                out += [text[done : groups[0][0]], run(text, groups)]
+                done = groups[-1][1]
+    return "".join([*out, text[done:]])
+
+
+def _no_phone(change: Callable[[str], str], cipher: Cipher, after: str) -> Callable[[str], str]:
+    """A change of a value after a plus sign, repeated until sign and value are no phone."""
+
+    def one(value: str) -> str:
+        while (value := change(value)) and (m := _NUMBER.match(f"+{value}{after}")) and cipher.phone(m[0]) != m[0]:
+            pass
+        return value
+
+    return one
+
+
 def pseudonymised(text: str, cipher: Cipher, seen: dict[str, int] | None = None) -> str:
     """The text with all valid values replaced; counts them by kind in ``seen``."""
 
@@ -220,15 +394,34 @@ def pseudonymised(text: str, cipher: Cipher, seen: dict[str, int] | None = None)
     if "@" in text:
         text = _EMAIL.sub(swap("email", cipher.email), text)
     if _START.search(text):
-        text = _ACCOUNT.sub(swap("account", cipher.account), text)
-        out, done = [], 0
+        text, accounts = _accounts(text, cipher, seen)
+        out, done, size, spans, at = [], 0, 0, [], 0
+
+        def put(a: int, b: int, new: str) -> None:
+            nonlocal done, size
+            out.extend([text[done:a], new])
+            size += a - done + len(new)
+            spans.append((size - len(new), size))
+            done = b
+
         for start in _START.finditer(text):
+            while at < len(accounts) and accounts[at][1] <= start.start():
+                put(*accounts[at], text[slice(*accounts[at])])
+                at += 1
             if start.start() < done or not (m := _NUMBER.match(text, start.start())):
                 continue
+            if at < len(accounts) and m.end() > accounts[at][0]:
+                continue
             kind = m.lastgroup or "date"
-            out += [text[done : m.start()], swap(kind, getattr(cipher, kind))(m)]
-            done = m.end()
-        text = "".join([*out, text[done:]])
+            change = getattr(cipher, kind)
+            if kind != "phone" and text[m.start() - 1 : m.start()] == "+":
+                change = _no_phone(change, cipher, text[m.end() : m.end() + 40])
+            new = swap(kind, change)(m)
+            if new != m[0]:
+                put(m.start(), m.end(), new)
+        for span in accounts[at:]:
+            put(*span, text[slice(*span)])
+        text = _cards("".join([*out, text[done:]]), cipher, seen, spans)
     return text
 
 
