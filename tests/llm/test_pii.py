@@ -138,6 +138,17 @@ def test_secrets_are_replaced():
     assert pseudonymised(new, Cipher(KEY, back=True)) == text
 
 
+@pytest.mark.parametrize("size", [8, 40, 41, 180, 200, 201, 1000, 100_000])
+def test_secrets_of_any_length_are_replaced_whole(size):
+    rng = random.Random(size)
+    value = "".join(rng.choice("abcdefABCDEF0123456789") for _ in range(size))
+    text = f"token: {value}. end"
+    new = pseudonymised(text, Cipher(KEY))
+    assert len(new) == len(text) and new.endswith(". end")
+    assert not any(value[i : i + 8] in new for i in range(0, size, 8) if i + 8 <= size)
+    assert pseudonymised(new, Cipher(KEY, back=True)) == text
+
+
 def test_equal_values_stay_linked_across_documents(documents):
     rows = [(1, "call +1 (743) 555-3824 now", "en", "a", 0), (2, "or +1 (743) 555-3824!", "de", "b", 0), (3, "x", "en", "a", 0)]
     found = {r["doc_id"]: r for r in pseudonymise(documents(rows), KEY, count=True).collect()}

@@ -34,6 +34,7 @@ ROUNDS = 10
 DEFAULT_KEY = b"voltseries"  # a parameter; keep a real one secret
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 HEX = "0123456789abcdef"
+PIECE = 40  # signs permuted as one number
 _FIRST_DAY, _LAST_DAY = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal()
 
 
@@ -79,7 +80,13 @@ class Cipher:
         return str(self.number(int(text), 10 ** len(text), kind)).zfill(len(text)) if text else text
 
     def signs(self, text: str, kind: str, alphabets: tuple[str, ...]) -> str:
-        """Permute the signs that belong to an alphabet; all others keep their place."""
+        """Permute the signs that belong to an alphabet; all others keep their place.
+
+        A long text is permuted in pieces, whose range one keyed hash covers.
+        """
+        if len(text) > PIECE:
+            pieces = [text[i : i + PIECE] for i in range(0, len(text), PIECE)]
+            return "".join(self.signs(p, f"{kind} {i}" if i else kind, alphabets) for i, p in enumerate(pieces))
         own = [next((a for a in alphabets if c in a), "") for c in text]
         value, size = 0, 1
         for c, a in zip(text, own, strict=True):
@@ -205,7 +212,7 @@ _ACCOUNT = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{
 _LONGEST = 43  # signs of an account with its blanks
 _ACCESS_KEY = re.compile(r"(?<!\w)AKIA[A-Z0-9]{16}(?!\w)", re.ASCII)
 _SECRET = re.compile(
-    r"(?i:\b(?:token|password|passwd|secret|api_?key))\s{0,3}[=:]\s{0,3}[\"']?([A-Za-z0-9+/_-]{8,200})(?![A-Za-z0-9+/_-])"
+    r"(?i:\b(?:token|password|passwd|secret|api_?key))\s{0,3}[=:]\s{0,3}[\"']?([A-Za-z0-9+/_-]{8,})(?![A-Za-z0-9+/_-])"
 )
 
 
