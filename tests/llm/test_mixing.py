@@ -57,6 +57,18 @@ def test_targets_and_taken_words(documents, n, sources, hot):
         assert abs(words - want[s]) <= 48, s
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_a_long_document_does_not_end_a_source(documents, seed):
+    """Half of the source's words are asked for, and one document is longer than that."""
+    rows = [(i, " ".join(["w"] * 10), "en", "a", 0) for i in range(200)]
+    rows += [(1000, " ".join(["w"] * 2200), "en", "a", 0), (1001, " ".join(["w"] * 700), "en", "a", 0)]
+    rows += [(2000 + i, " ".join(["w"] * 5), "en", "b", 0) for i in range(1200)]
+    found = mix(documents(rows), weights=(1, 5), seed=seed).collect()
+    target = next(r["target"] for r in found if r["doc_id"] == 0)
+    assert 1500 < target < 2200
+    assert abs(by_source(rows, found)["a"] - target) <= 10
+
+
 def test_reruns_and_other_partitions_agree(documents):
     rows = corpus(200)
     one = {r["doc_id"]: (r["taken"], r["shards"]) for r in mix(documents(rows)).collect()}

@@ -5,7 +5,9 @@
    is shared again by weight.
 2. The documents of a source fall by hash into about sqrt(n) blocks. A source takes
    every block as often as its target holds all its words, and then blocks in a keyed
-   order up to the target; the block at the target is cut between two documents.
+   order up to the target; the block at the target is cut between two documents. A
+   document longer than the room left is passed over, and the later documents and blocks
+   fill the room (``_filled``); one that is nearer to the target than none may go beyond.
 3. The draws of blocks are split among the output shards: a tree halves the shards, and
    at each node the left half draws its share of every source's quota from the
    multivariate hypergeometric distribution. Shards get exact quotas of nearly equal sums.
@@ -152,13 +154,65 @@ def _block(n_docs: Column) -> Column:
     return F.pmod(F.col("_key"), F.ceil(F.sqrt(n_docs.cast("double"))))
 
 
+def _filled(keys: DataFrame, state: DataFrame) -> DataFrame:
+    """(source_no, block, extra): keys beyond the cut that fill the room left.
+
+    ``keys`` has source_no, block, spot (the place of the block), _key and words; ``state``
+    a row per source with the spot and key reached, and the gap. A round goes on from there
+    over all documents that are not longer than the gap, up to the first that is longer than
+    what the round has left. The rounds end when no later document fits; together they take
+    fewer words than one passed-over document has.
+    """
+    at = F.struct("spot", "_key") > F.struct("_spot", "after")
+    by_block = Window.partitionBy("source_no").orderBy("spot")
+    in_block = Window.partitionBy("source_no", "spot").orderBy("_key")
+    state = stored(state, "gaps")
+    taken = []
+    while True:
+        here = state.filter("gap > 0").withColumnRenamed("spot", "_spot")
+        open_ = keys.filter("words > 0").join(here, "source_no").filter(at & (F.col("words") <= F.col("gap")))
+        sums = (
+            open_.groupBy("source_no", "spot", "gap")
+            .agg(F.sum("words").alias("block_words"))
+            .withColumn("block_upto", F.sum("block_words").over(by_block))
+            .filter(F.col("block_upto") - F.col("block_words") < F.col("gap"))
+            .select("source_no", "spot", (F.col("block_upto") - F.col("block_words")).alias("block_before"))
+        )
+        found = stored(
+            open_.join(sums, ["source_no", "spot"])
+            .withColumn("upto", F.col("block_before") + F.sum("words").over(in_block))
+            .filter(F.col("upto") <= F.col("gap"))
+            .select("source_no", "block", "spot", "_key", "upto"),
+            "fill",
+        )
+        if found.isEmpty():
+            break
+        taken.append(found.select("source_no", "block", "_key"))
+        last = found.groupBy("source_no").agg(
+            F.max("upto").alias("got"), F.max(F.struct("spot", F.col("_key").alias("after"))).alias("last")
+        )
+        state = stored(
+            state.join(last, "source_no").select("source_no", "last.spot", "last.after", (F.col("gap") - F.col("got")).alias("gap")),
+            "gaps",
+        ).unionByName(state.join(last, "source_no", "left_anti"))
+        state = stored(state, "gaps")
+    # All later documents are longer than the gap: the shortest may still be nearer than none.
+    here = state.filter("gap > 0").withColumnRenamed("spot", "_spot")
+    over = keys.join(here, "source_no").filter(at & (F.col("words") > F.col("gap")) & (F.col("words") < 2 * F.col("gap")))
+    shortest = over.groupBy("source_no").agg(F.min(F.struct("words", "spot", "_key", "block")).alias("s"))
+    every = shortest.select("source_no", "s.block", "s._key")
+    for found in taken:
+        every = every.unionByName(found)
+    return every.groupBy("source_no", "block").agg(F.collect_list("_key").alias("extra"))
+
+
 def mixing_plan(
     sized: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, shards: int = SHARDS, seed: int = SEED
 ) -> DataFrame:
     """One row per source and block: source, block, n_docs, source_size, target, draws.
 
     ``sized`` has source, size and _key. A draw is (pass, shard, limit, extra); it
-    holds the documents of the block whose key is at most the limit, or is the extra one.
+    holds the documents of the block whose key is at most the limit, or among the extra ones.
     """
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
     sources = targets(sources, weights, cap).withColumn(
@@ -180,6 +234,7 @@ def mixing_plan(
     blocks = stored(
         blocks.join(sources, "source_no")
         .withColumn("upto", F.sum("words").over(place))
+        .withColumn("spot", F.row_number().over(place))
         .withColumn(
             "part",
             F.when(F.col("upto") <= F.col("rest"), "whole").when(
@@ -189,25 +244,26 @@ def mixing_plan(
         "blocks",
     )
 
-    # Inside the cut block: documents up to the target, and the one that fits the gap best.
+    # Inside the cut block: documents up to the target.
     cut = blocks.filter("part = 'cut'").select(
-        "source_no", "block", (F.col("rest") - F.col("upto") + F.col("words")).alias("room")
+        "source_no", "block", "spot", (F.col("rest") - F.col("upto") + F.col("words")).alias("room")
     )
-    in_block = Window.partitionBy("source_no", "block")
+    by_key = tagged.groupBy("source_no", "block", "_key").agg(F.sum("size").alias("words"))
     fits = F.col("upto") <= F.col("room")
-    miss = F.abs(F.col("words") - F.col("gap"))
-    inside = (
-        tagged.join(cut, ["source_no", "block"])
-        .groupBy("source_no", "block", "_key", "room")
-        .agg(F.sum("size").alias("words"))
-        .withColumn("upto", F.sum("words").over(in_block.orderBy("_key")))
-        .withColumn("gap", F.col("room") - F.coalesce(F.max(F.when(fits, F.col("upto"))).over(in_block), F.lit(0)))
-        .groupBy("source_no", "block")
+    inside = stored(
+        by_key.join(cut, ["source_no", "block"])
+        .withColumn("upto", F.sum("words").over(Window.partitionBy("source_no", "block").orderBy("_key")))
+        .groupBy("source_no", "block", "spot", "room")
         .agg(
             F.coalesce(F.max(F.when(fits, F.col("_key"))), F.lit(_NONE)).alias("limit"),
-            F.min(F.when(~fits & (miss < F.col("gap")), F.struct(miss.alias("miss"), "_key")))["_key"].alias("extra"),
-        )
+            F.coalesce(F.max(F.when(fits, F.col("upto"))), F.lit(0)).alias("got"),
+        ),
+        "cut-blocks",
     )
+    state = inside.select("source_no", "spot", F.col("limit").alias("after"), (F.col("room") - F.col("got")).alias("gap"))
+    extras = _filled(by_key.join(blocks.select("source_no", "block", "spot"), ["source_no", "block"]), state)
+    inside = inside.select("source_no", "block", "limit").join(extras, ["source_no", "block"], "full")
+    inside = inside.withColumn("limit", F.coalesce("limit", F.lit(_NONE)))
     limited = blocks.join(inside, ["source_no", "block"], "left").withColumn(
         "limit", F.when(F.col("part") == "whole", F.lit(_ALL)).otherwise(F.col("limit"))
     )
@@ -255,9 +311,9 @@ def with_draws(docs: DataFrame, plan: DataFrame) -> DataFrame:
     blocked = docs.join(sources, docs["source"].eqNullSafe(sources["_s"])).withColumn("_block", _block(F.col("_n")))
     side = plan.withColumnsRenamed({"source": "_source", "block": "_b", "draws": "_draws"})
     both = blocked.join(side, (blocked["_block"] == side["_b"]) & blocked["source"].eqNullSafe(side["_source"]))
-    empty = F.expr("cast(array() as array<struct<pass:int,shard:int,limit:bigint,extra:bigint>>)")
+    empty = F.expr("cast(array() as array<struct<pass:int,shard:int,limit:bigint,extra:array<bigint>>>)")
     own = F.filter(
-        F.coalesce("_draws", empty), lambda d: (F.col("_key") <= d["limit"]) | d["extra"].eqNullSafe(F.col("_key"))
+        F.coalesce("_draws", empty), lambda d: (F.col("_key") <= d["limit"]) | F.coalesce(F.array_contains(d["extra"], F.col("_key")), F.lit(False))
     )
     return both.withColumn("draws", own).drop("_s", "_n", "_block", "_source", "_b", "_draws")
 
