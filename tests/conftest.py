@@ -25,7 +25,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def physical_plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import physical_plan
+from plan_text import physical_plan
 
 from voltseries.catalog import oracle
 from voltseries.catalog.queries import QUERIES, Fleet

@@ -85,7 +85,7 @@ def test_rule_report(spark, mixed):
 
 
 def test_column_rules_share_one_pass(spark, mixed):
-    from conftest import physical_plan
+    from plan_text import physical_plan
 
     rules = [r for r in RULES if isinstance(r, quality.ColumnRule)]
     plan = physical_plan(quality.rule_report(mixed, rules))

@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import physical_plan
+from plan_text import physical_plan
 from pyspark.sql import functions as F
 
 from voltseries.operators.dedup import keep_latest

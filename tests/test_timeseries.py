@@ -2,7 +2,7 @@ import datetime as dt
 import random
 
 import pytest
-from conftest import physical_plan
+from plan_text import physical_plan
 from pyspark.sql import functions as F
 
 from voltseries.operators import timeseries as ts
