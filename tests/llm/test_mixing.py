@@ -124,3 +124,34 @@ def test_no_words_and_no_rows(documents):
     assert [(r["taken"], r["target"]) for r in found] == [(0, 0.0)] * 2
     assert mix(documents([])).count() == 0
     assert mixed_documents(documents([])).count() == 0
+
+
+def test_uneven_sizes_come_near_in_few_rounds(documents):
+    """Short and long documents by turns: a gap is filled by halves, not document by document."""
+    rows = [(i, " ".join(["w"] * (1 if i % 2 else 400 - i)), "en", "a", 0) for i in range(240)]
+    rows += [(2000 + i, " ".join(["w"] * 5), "en", "b", 0) for i in range(9000)]
+    found = mix(documents(rows), weights=(1, 3)).collect()
+    want = next(r["target"] for r in found if r["doc_id"] == 0)
+    # No document between 1 and 162 words: the last one comes within half of that.
+    assert abs(by_source(rows, found)["a"] - want) <= 81
+
+
+def test_null_and_repeated_ids_are_drawn_apart(documents):
+    rows = [(None if i % 2 else 7, f"{'w ' * (5 + i % 9)}{i}", "en", "a", 0) for i in range(300)]
+    rows += [(1000 + i, "w " * 20, "en", "b", 0) for i in range(300)]
+    found = mix(documents(rows), weights=(1, 4)).collect()
+    own = [r for r in found if r["doc_id"] is None or r["doc_id"] == 7]
+    assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 13
+    assert len({r["taken"] > r["size"] for r in own}) == 2 or own[0]["target"] < own[0]["source_size"]
+
+
+def test_shards_are_ordered_ranges(documents, monkeypatch):
+    """Many partitions to a shard: same rows, and no partition holds two shards."""
+    from voltseries.llm import mixing
+
+    docs = documents(corpus(200))
+    whole = Counter(r["doc_id"] for r in mixed_documents(docs, shards=3).collect())
+    monkeypatch.setattr(mixing, "PART_WORDS", 1000)
+    cut = mixed_documents(docs, shards=3)
+    assert cut.rdd.getNumPartitions() > 6
+    assert Counter(r["doc_id"] for r in cut.collect()) == whole

@@ -5,9 +5,9 @@
    is shared again by weight.
 2. The documents of a source fall by hash into about sqrt(n) blocks. A source takes
    every block as often as its target holds all its words, and then blocks in a keyed
-   order up to the target; the block at the target is cut between two documents. A
-   document longer than the room left is passed over, and the later documents and blocks
-   fill the room (``_filled``); one that is nearer to the target than none may go beyond.
+   order up to the target; the block at the target is cut between two documents. If the
+   room left there is more than ``NEAR`` of the target, later documents and blocks fill it
+   in a bounded number of rounds (``_filled``).
 3. The draws of blocks are split among the output shards: a tree halves the shards, and
    at each node the left half draws its share of every source's quota from the
    multivariate hypergeometric distribution. Shards get exact quotas of nearly equal sums.
@@ -19,8 +19,8 @@ source or block; documents meet them in one join that hot sources cannot skew, a
 key has the block.
 
 Defined cases: a null or empty text has size 0 and is drawn like others, adding nothing;
-rows that repeat an id share its block and are drawn together; sources without words
-have target 0. Other columns are kept by ``mixed_documents``. No rows give no rows.
+rows equal in id and text share a key and are drawn together; sources without words
+have target 0; a very long text is one document, passed over where it does not fit. Other columns are kept by ``mixed_documents``. No rows give no rows.
 """
 
 from __future__ import annotations
@@ -36,6 +36,9 @@ WEIGHTS = (5, 2, 1)
 CAP = 3
 SHARDS = 16
 SEED = 17
+NEAR = 0.001  # of a target: a smaller gap is left
+ROUNDS = 12  # of filling a gap; each at least halves it
+PART_WORDS = 4_000_000  # of a shard in one task
 _ALL, _NONE = 2**63 - 1, -(2**63)
 
 
@@ -146,7 +149,8 @@ def shard_quotas(quotas: DataFrame, shards: int = SHARDS, seed: int = SEED) -> D
 
 
 def _keyed(docs: DataFrame, seed: int) -> DataFrame:
-    key = F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"))
+    """Add the key of a document: a hash of its id and its text."""
+    key = F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), F.col("text").cast("string"))
     return docs.withColumn("_key", key)
 
 
@@ -154,65 +158,91 @@ def _block(n_docs: Column) -> Column:
     return F.pmod(F.col("_key"), F.ceil(F.sqrt(n_docs.cast("double"))))
 
 
-def _filled(keys: DataFrame, state: DataFrame) -> DataFrame:
-    """(source_no, block, extra): keys beyond the cut that fill the room left.
+def _wide(state: DataFrame) -> DataFrame:
+    """The sources whose gap is more than ``NEAR`` of their target."""
+    return state.filter(F.col("gap") > F.col("target") * NEAR).withColumnRenamed("spot", "_spot")
 
-    ``keys`` has source_no, block, spot (the place of the block), _key and words; ``state``
-    a row per source with the spot and key reached, and the gap. A round goes on from there
-    over all documents that are not longer than the gap, up to the first that is longer than
-    what the round has left. The rounds end when no later document fits; together they take
-    fewer words than one passed-over document has.
+
+def _filled(tagged: DataFrame, blocks: DataFrame, state: DataFrame) -> DataFrame | None:
+    """(source_no, block, _key): documents beyond the cut that fill the room left, or None.
+
+    ``state`` has a row per source with a cut: the spot and key reached, the gap and the
+    target. Only sources with a wide gap are looked at, and their later documents are
+    gathered once. A round goes on from there over the documents of at most half the gap,
+    up to the first that does not fit. Either that takes more than half the gap, or no such
+    document is left: so the rounds are at most log2(1 / NEAR) for a gap as large as the
+    target. At last the one document follows that comes nearest to what is left, if it is
+    nearer than none.
     """
-    at = F.struct("spot", "_key") > F.struct("_spot", "after")
+    wide = stored(_wide(state), "gaps")
+    if wide.isEmpty():
+        return None
+    at, since = F.struct("spot", "_key"), F.struct("_spot", "after")
+    places = blocks.select("source_no", "block", "spot").join(wide, "source_no").filter(F.col("spot") >= F.col("_spot"))
+    later = stored(
+        tagged.filter("size > 0")
+        .join(places, ["source_no", "block"])
+        .filter((at > since) & (F.col("size") < 2 * F.col("gap")))
+        .groupBy("source_no", "block", "spot", "_key", F.col("gap").alias("_gap"))
+        .agg(F.sum("size").alias("words"))
+        .filter(F.col("words") < 2 * F.col("_gap"))
+        .drop("_gap"),
+        "later",
+    )
     by_block = Window.partitionBy("source_no").orderBy("spot")
     in_block = Window.partitionBy("source_no", "spot").orderBy("_key")
-    state = stored(state, "gaps")
+    columns = ["source_no", "block", "_key"]
     taken = []
-    while True:
-        here = state.filter("gap > 0").withColumnRenamed("spot", "_spot")
-        open_ = keys.filter("words > 0").join(here, "source_no").filter(at & (F.col("words") <= F.col("gap")))
+    for _ in range(ROUNDS):
+        open_ = later.join(wide, "source_no").filter((at > since) & (2 * F.col("words") <= F.col("gap")))
         sums = (
             open_.groupBy("source_no", "spot", "gap")
             .agg(F.sum("words").alias("block_words"))
-            .withColumn("block_upto", F.sum("block_words").over(by_block))
-            .filter(F.col("block_upto") - F.col("block_words") < F.col("gap"))
-            .select("source_no", "spot", (F.col("block_upto") - F.col("block_words")).alias("block_before"))
+            .withColumn("before", F.sum("block_words").over(by_block) - F.col("block_words"))
+            .filter("before < gap")
+            .select("source_no", "spot", "before")
         )
         found = stored(
             open_.join(sums, ["source_no", "spot"])
-            .withColumn("upto", F.col("block_before") + F.sum("words").over(in_block))
-            .filter(F.col("upto") <= F.col("gap"))
-            .select("source_no", "block", "spot", "_key", "upto"),
+            .withColumn("upto", F.col("before") + F.sum("words").over(in_block))
+            .filter("upto <= gap")
+            .select(*columns, "spot", "upto"),
             "fill",
         )
         if found.isEmpty():
             break
-        taken.append(found.select("source_no", "block", "_key"))
+        taken.append(found.select(*columns))
         last = found.groupBy("source_no").agg(
-            F.max("upto").alias("got"), F.max(F.struct("spot", F.col("_key").alias("after"))).alias("last")
+            F.max("upto").alias("got"), F.max(F.struct(F.col("spot").alias("_spot"), F.col("_key").alias("after"))).alias("last")
+        )
+        moved = wide.join(last, "source_no", "left").select(
+            "source_no",
+            F.coalesce("last._spot", "_spot").alias("_spot"),
+            F.coalesce("last.after", "after").alias("after"),
+            (F.col("gap") - F.coalesce("got", F.lit(0))).alias("gap"),
+            "target",
         )
-        state = stored(
-            state.join(last, "source_no").select("source_no", "last.spot", "last.after", (F.col("gap") - F.col("got")).alias("gap")),
-            "gaps",
-        ).unionByName(state.join(last, "source_no", "left_anti"))
-        state = stored(state, "gaps")
-    # All later documents are longer than the gap: the shortest may still be nearer than none.
-    here = state.filter("gap > 0").withColumnRenamed("spot", "_spot")
-    over = keys.join(here, "source_no").filter(at & (F.col("words") > F.col("gap")) & (F.col("words") < 2 * F.col("gap")))
-    shortest = over.groupBy("source_no").agg(F.min(F.struct("words", "spot", "_key", "block")).alias("s"))
-    every = shortest.select("source_no", "s.block", "s._key")
+        wide = stored(moved.filter(F.col("gap") > F.col("target") * NEAR), "gaps")
+    left = later.join(wide, "source_no")
+    for found in taken:
+        left = left.join(found, columns, "left_anti")
+    nearest = left.filter(F.col("words") < 2 * F.col("gap")).groupBy("source_no").agg(
+        F.min(F.struct(F.abs(F.col("words") - F.col("gap")).alias("miss"), "spot", "_key", "block")).alias("s")
+    )
+    every = nearest.select("source_no", "s.block", "s._key")
     for found in taken:
         every = every.unionByName(found)
-    return every.groupBy("source_no", "block").agg(F.collect_list("_key").alias("extra"))
+    return stored(every, "extras")
 
 
 def mixing_plan(
     sized: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, shards: int = SHARDS, seed: int = SEED
-) -> DataFrame:
+) -> tuple[DataFrame, DataFrame | None]:
     """One row per source and block: source, block, n_docs, source_size, target, draws.
 
-    ``sized`` has source, size and _key. A draw is (pass, shard, limit, extra); it
-    holds the documents of the block whose key is at most the limit, or among the extra ones.
+    ``sized`` has source, size and _key. A draw is (pass, shard, limit, partial); it holds
+    the documents of the block whose key is at most the limit. The second table, if any,
+    has (source, _key) of documents beyond the limit that the partial draw takes, too.
     """
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
     sources = targets(sources, weights, cap).withColumn(
@@ -244,27 +274,30 @@ def mixing_plan(
         "blocks",
     )
 
-    # Inside the cut block: documents up to the target.
+    # Inside the cut block, one per source: documents up to the target.
     cut = blocks.filter("part = 'cut'").select(
-        "source_no", "block", "spot", (F.col("rest") - F.col("upto") + F.col("words")).alias("room")
+        "source_no", "block", "spot", "target", (F.col("rest") - F.col("upto") + F.col("words")).alias("room")
     )
-    by_key = tagged.groupBy("source_no", "block", "_key").agg(F.sum("size").alias("words"))
+    own = ["source_no", "block", "spot", "target", "room"]
     fits = F.col("upto") <= F.col("room")
     inside = stored(
-        by_key.join(cut, ["source_no", "block"])
+        tagged.join(cut, ["source_no", "block"])
+        .groupBy(*own, "_key")
+        .agg(F.sum("size").alias("words"))
         .withColumn("upto", F.sum("words").over(Window.partitionBy("source_no", "block").orderBy("_key")))
-        .groupBy("source_no", "block", "spot", "room")
+        .groupBy(*own)
         .agg(
-            F.coalesce(F.max(F.when(fits, F.col("_key"))), F.lit(_NONE)).alias("limit"),
-            F.coalesce(F.max(F.when(fits, F.col("upto"))), F.lit(0)).alias("got"),
+            F.coalesce(F.max(F.when(fits, F.col("_key"))), F.lit(_NONE)).alias("after"),
+            (F.col("room") - F.coalesce(F.max(F.when(fits, F.col("upto"))), F.lit(0))).alias("gap"),
         ),
         "cut-blocks",
     )
-    state = inside.select("source_no", "spot", F.col("limit").alias("after"), (F.col("room") - F.col("got")).alias("gap"))
-    extras = _filled(by_key.join(blocks.select("source_no", "block", "spot"), ["source_no", "block"]), state)
-    inside = inside.select("source_no", "block", "limit").join(extras, ["source_no", "block"], "full")
-    inside = inside.withColumn("limit", F.coalesce("limit", F.lit(_NONE)))
-    limited = blocks.join(inside, ["source_no", "block"], "left").withColumn(
+    extras = _filled(tagged, blocks, inside.select("source_no", "spot", "after", "gap", "target"))
+    reached = inside.select("source_no", "block", F.col("after").alias("limit"))
+    if extras is not None:
+        more = extras.select("source_no", "block", F.lit(_NONE).alias("limit")).distinct()
+        reached = reached.unionByName(more).groupBy("source_no", "block").agg(F.max("limit").alias("limit"))
+    limited = blocks.join(reached, ["source_no", "block"], "left").withColumn(
         "limit", F.when(F.col("part") == "whole", F.lit(_ALL)).otherwise(F.col("limit"))
     )
 
@@ -274,20 +307,17 @@ def mixing_plan(
         lambda p: F.struct(
             p.alias("pass"),
             F.when(p < F.col("passes"), F.lit(_ALL)).otherwise(F.col("limit")).alias("limit"),
-            F.when(p == F.col("passes"), F.col("extra")).alias("extra"),
+            (p == F.col("passes")).alias("partial"),
         ),
     )
+    by_hash = Window.partitionBy("source_no").orderBy(
+        F.xxhash64(F.lit(seed + 1), "source_no", "block", "pass"), "block", "pass"
+    )
     draws = stored(
         limited.select("source_no", "block", F.explode(whole).alias("d"))
         .filter("d.limit IS NOT NULL")
-        .select("source_no", "block", "d.pass", "d.limit", "d.extra")
-        .withColumn(
-            "place",
-            F.row_number().over(
-                Window.partitionBy("source_no").orderBy(F.xxhash64(F.lit(seed + 1), "source_no", "block", "pass"), "block", "pass")
-            )
-            - 1,
-        ),
+        .select("source_no", "block", "d.*")
+        .withColumn("place", F.row_number().over(by_hash) - 1),
         "draws",
     )
     quotas = sources.select("source_no").join(
@@ -295,32 +325,45 @@ def mixing_plan(
     )
     ends = shard_quotas(quotas.select("source_no", F.coalesce("quota", F.lit(0)).alias("quota")), shards, seed)
     dealt = (
-        draws.join(ends, "source_no")
+        draws.join(stored(ends, "quotas"), "source_no")
         .withColumn("shard", F.size(F.filter("ends", lambda e: e <= F.col("place"))))
         .groupBy("source_no", "block")
-        .agg(F.sort_array(F.collect_list(F.struct("pass", "shard", "limit", "extra"))).alias("draws"))
+        .agg(F.sort_array(F.collect_list(F.struct("pass", "shard", "limit", "partial"))).alias("draws"))
     )
-    return blocks.join(dealt, ["source_no", "block"], "left").select(
-        "source", "block", "n_docs", "source_size", "target", "draws"
+    plan = stored(
+        blocks.join(dealt, ["source_no", "block"], "left").select(
+            "source", "block", "n_docs", "source_size", "target", "draws"
+        ),
+        "mix-plan",
     )
+    if extras is not None:
+        extras = extras.join(sources.select("source_no", "source"), "source_no").select("source", "_key")
+        extras = stored(extras.distinct(), "extras")
+    return plan, extras
 
 
-def with_draws(docs: DataFrame, plan: DataFrame) -> DataFrame:
+def with_draws(docs: DataFrame, plan: DataFrame, extras: DataFrame | None = None) -> DataFrame:
     """Documents (source, _key, …) with source_size, target and their own draws."""
     sources = plan.select("source", "n_docs").distinct().withColumnsRenamed({"source": "_s", "n_docs": "_n"})
     blocked = docs.join(sources, docs["source"].eqNullSafe(sources["_s"])).withColumn("_block", _block(F.col("_n")))
     side = plan.withColumnsRenamed({"source": "_source", "block": "_b", "draws": "_draws"})
     both = blocked.join(side, (blocked["_block"] == side["_b"]) & blocked["source"].eqNullSafe(side["_source"]))
-    empty = F.expr("cast(array() as array<struct<pass:int,shard:int,limit:bigint,extra:array<bigint>>>)")
+    if extras is None:
+        both = both.withColumn("_extra", F.lit(False))
+    else:
+        more = extras.select(F.col("source").alias("_es"), F.col("_key").alias("_ek"), F.lit(True).alias("_extra"))
+        both = both.join(more, (both["_key"] == more["_ek"]) & both["source"].eqNullSafe(more["_es"]), "left")
+        both = both.withColumn("_extra", F.coalesce("_extra", F.lit(False))).drop("_ek", "_es")
+    empty = F.expr("cast(array() as array<struct<pass:int,shard:int,limit:bigint,partial:boolean>>)")
     own = F.filter(
-        F.coalesce("_draws", empty), lambda d: (F.col("_key") <= d["limit"]) | F.coalesce(F.array_contains(d["extra"], F.col("_key")), F.lit(False))
+        F.coalesce("_draws", empty), lambda d: (F.col("_key") <= d["limit"]) | (d["partial"] & F.col("_extra"))
     )
-    return both.withColumn("draws", own).drop("_s", "_n", "_block", "_source", "_b", "_draws")
+    return both.withColumn("draws", own).drop("_s", "_n", "_block", "_source", "_b", "_draws", "_extra")
 
 
 def _sized(docs: DataFrame, seed: int) -> DataFrame:
-    rows = docs.select("doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"))
-    return stored(_keyed(rows, seed), "sized")
+    rows = _keyed(docs.select("doc_id", "text", F.col("source").cast("string").alias("source")), seed)
+    return stored(rows.select("doc_id", "source", "_key", word_count(F.col("text")).alias("size")), "sized")
 
 
 def mix(
@@ -328,7 +371,7 @@ def mix(
 ) -> DataFrame:
     """doc_id, size, source_size, target, taken, shards: one row per document."""
     sized = _sized(docs, seed)
-    drawn = with_draws(sized, stored(mixing_plan(sized, weights, cap, shards, seed), "mix-plan"))
+    drawn = with_draws(sized, *mixing_plan(sized, weights, cap, shards, seed))
     return drawn.select(
         "doc_id",
         "size",
@@ -342,18 +385,25 @@ def mix(
 def mixed_documents(
     docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, shards: int = SHARDS, seed: int = SEED
 ) -> DataFrame:
-    """The rows of ``docs`` as often as they are drawn, by shard and in keyed order."""
+    """The rows of ``docs`` as often as they are drawn, by shard and in keyed order.
+
+    A shard is a run of consecutive partitions, each a range of the keyed order of about
+    ``PART_WORDS`` words: the order is a hash, so equal ranges hold nearly equal shares.
+    """
     sized = _sized(docs, seed)
-    plan = stored(mixing_plan(sized, weights, cap, shards, seed), "mix-plan")
-    rows = _keyed(
-        docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), "doc_id", F.col("source").cast("string").alias("source")),
-        seed,
+    plan, extras = mixing_plan(sized, weights, cap, shards, seed)
+    wanted = plan.select("source", "target").distinct().agg(F.sum("target").alias("t")).first()["t"] or 0.0
+    parts = int(wanted / shards // PART_WORDS) + 1
+    rows = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("_row"), "doc_id", "text", F.col("source").cast("string").alias("source")
     )
-    drawn = with_draws(rows, plan).select("_row", "_key", F.explode("draws").alias("_d"))
-    order = F.xxhash64(F.lit(seed + 2), "_key", "_d.pass")
+    rows = _keyed(rows, seed).select("_row", "source", "_key")
+    drawn = with_draws(rows, plan, extras).select("_row", "_key", F.explode("draws").alias("_d"))
+    order = F.shiftrightunsigned(F.xxhash64(F.lit(seed + 2), "_key", "_d.pass"), 1)
+    part = F.least(F.floor(F.col("_order") / F.lit(2.0**63) * parts), F.lit(parts - 1))
     return (
         drawn.select("_row", F.col("_d.shard").alias("_shard"), order.alias("_order"))
-        .repartition(F.col("_shard"))
+        .repartitionById(shards * parts, (F.col("_shard") * parts + part).cast("int"))
         .sortWithinPartitions("_shard", "_order")
         .select("_row.*")
     )
