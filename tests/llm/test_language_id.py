@@ -1,7 +1,12 @@
+import math
 import random
+from collections import Counter, defaultdict
 
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
+from voltseries.llm import language_id as lid
 from voltseries.llm.language_id import accepted_documents, identify, identify_documents, identify_pages
 
 FOLDER = "/root/testdata/sf0.01"
@@ -96,3 +101,81 @@ def test_no_declared_language_and_no_rows(documents):
     assert [r["accepted"] for r in identify_documents(documents(rows)).collect()] == [False]
     assert identify_documents(documents([])).count() == 0
     assert accepted_documents(documents([])).count() == 0
+
+
+def many_languages(count, each=24, seed=3):
+    """Made-up languages of thirty words each, over a few common letters."""
+    rng = random.Random(seed)
+    rows, i = [], 0
+    for lang in range(count):
+        words = ["".join(rng.choice("abdeghiklmnoprstuvw") for _ in range(rng.randint(3, 8))) for _ in range(30)]
+        for _ in range(each):
+            rows.append((i, " ".join(rng.choice(words) for _ in range(60)), f"l{lang:03d}", f"host{i % 7}", 0))
+            i += 1
+    return rows
+
+
+def test_all_of_eighty_languages_are_known(documents):
+    """More languages than a group holds: two passes, and no clean document is lost."""
+    rows = many_languages(80)
+    assert lid.GROUP < 80
+    found = identify_documents(documents(rows)).collect()
+    said = {r[0]: r[2] for r in rows}
+    assert all(r["accepted"] and r["language"] == said[r["doc_id"]] for r in found)
+    assert accepted_documents(documents(rows)).count() == len(rows)
+
+
+def test_rare_languages_are_kept_as_declared(documents):
+    rows = [*corpus(), *((1000 + i, t, "rare", "host-en", 0) for i, t, *_ in many_languages(1, each=5))]
+    found = {r["doc_id"]: r for r in identify_documents(documents(rows)).collect()}
+    assert all(found[1000 + i]["accepted"] for i in range(5))
+    assert accepted_documents(documents(rows)).count() == len(rows)
+
+
+def test_rows_of_one_id_are_judged_one_by_one(documents):
+    rows = [*corpus(), (3, "12 34", "en", "host-en", 0), (None, "12 34", "en", "host-en", 0), (None, "the and of", "en", "a", 0)]
+    kept = accepted_documents(documents(rows)).collect()
+    assert len(kept) == 241
+    assert [r["text"] for r in kept if r["doc_id"] is None] == ["the and of"]
+
+
+@pytest.mark.parametrize("group", [64, 2])
+def test_posterior_equals_a_plain_walk(documents, monkeypatch, group):
+    """Every row's fused posterior, recomputed row by row in plain Python."""
+    monkeypatch.setattr(lid, "GROUP", group)
+    rows = [*corpus(120), *many_languages(3, each=25, seed=9)]
+    rows = [(10 * i, t, None if i % 5 == 0 else lang, host, 0) for i, (_, t, lang, host, _) in enumerate(rows)]
+    rows += [(1, "der the les", "fr", "host1", 0), (2, "zq", None, "host2", 0), (3, "aa", "de", None, 0)]
+    frame = lid.document_rows(documents(rows))
+    names = list(lid.declared_languages(frame))
+    assert len(names) == 6
+    padded = frame.withColumn("text", F.concat(F.lit(" "), F.coalesce("text", F.lit("")), F.lit(" ")))
+    logs, _ = lid.fit(padded, lid.declared_languages(frame))
+    grams = {}
+    for i, text, *_ in rows:
+        hashed, spans = next(lid._trigrams(pa.array([f" {text} "])))
+        grams[i] = [int(g) for g in hashed[spans[0][0] : spans[0][1]] if g != 1 << lid.BITS]
+    mean = {i: [sum(line[g] for g in gs) / max(len(gs), 1) for line in logs] for i, gs in grams.items()}
+    votes, overall = defaultdict(Counter), Counter(range(6))
+    for i, _, _, host, _ in rows:
+        best = max(range(6), key=lambda x: (mean[i][x], -x))
+        votes[host][best] += 1
+        overall[best] += 1
+    # Documents have no suffix: its counts are those of all rows.
+    want = {}
+    everywhere = [overall[x] / sum(overall.values()) for x in range(6)]
+    all_votes = sum(votes.values(), Counter())
+    for i, _, lang, host, _ in rows:
+        total = sum(all_votes.values())
+        wide = [(all_votes[x] + 10 * everywhere[x]) / (total + 10) for x in range(6)]
+        own = sum(votes[host].values())
+        log = []
+        for x in range(6):
+            prior = (votes[host][x] + 10 * wide[x]) / (own + 10)
+            said = 0.0 if lang is None else math.log(0.9 if names[x] == lang else 0.1 / 5)
+            log.append(math.log(prior) + min(len(grams[i]), 200) * mean[i][x] + said)
+        top = max(range(6), key=lambda x: (log[x], -x))
+        want[i] = (names[top], 1 / sum(math.exp(v - log[top]) for v in log))
+    for r in identify_documents(documents(rows)).collect():
+        assert r["language"] == want[r["doc_id"]][0]
+        assert r["posterior"] == pytest.approx(want[r["doc_id"]][1], rel=1e-6)
