@@ -144,6 +144,84 @@ SELECT conv_id, count(*) AS n_turns,
 FROM placed GROUP BY conv_id
 """
 
+SQL["op11_collocations"] = rf"""
+WITH pieces AS (
+  SELECT lang, row_number() OVER () AS piece, regexp_extract_all(p, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS p FROM documents)
+), places AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces
+), counts AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM places, (VALUES (1), (2), (3)) AS s(k) WHERE i + k - 1 <= len(w) GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang
+), candidates AS (
+  SELECT *, string_split(phrase, ' ') AS t FROM counts WHERE k > 1 AND f >= 10
+), cuts AS (
+  SELECT c.lang, c.k, c.phrase, c.f AS a, l.f AS l, r.f AS r, h,
+         (1000000::HUGEINT * c.f * c.f) // (l.f::HUGEINT * r.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS h FROM candidates) c
+  JOIN counts l ON l.lang = c.lang AND l.k = c.h AND l.phrase = array_to_string(t[1:h], ' ')
+  JOIN counts r ON r.lang = c.lang AND r.k = c.k - c.h AND r.phrase = array_to_string(t[h + 1:], ' ')
+), best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, h) = 1
+), held AS (
+  SELECT lang, array_to_string(t[s:s + 1], ' ') AS phrase, max(f) AS f
+  FROM (SELECT *, unnest([1, 2]) AS s FROM candidates WHERE k = 3) GROUP BY ALL
+), kept AS (
+  SELECT b.* FROM best b LEFT JOIN held h ON h.lang = b.lang AND h.phrase = b.phrase
+  WHERE h.f IS NULL OR 100 * h.f < 50 * a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
+SQL["op12_minhash_dedup"] = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM words WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * k >= 80 * (x.n + y.n - k)
+), reach AS (
+  SELECT a AS doc_id, a AS other FROM links
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a
+), found AS (
+  SELECT d.doc_id, coalesce(max(z.n), 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(min(r.other), d.doc_id)) AS component_id
+  FROM documents d LEFT JOIN sizes z USING (doc_id) LEFT JOIN reach r USING (doc_id) GROUP BY d.doc_id
+)
+SELECT *, doc_id = component_id AS kept FROM found
+"""
+
+SQL["op13_hard_negatives"] = """
+WITH used AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS alike, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM used a JOIN used b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN pairs USING (anchor_id)
+WHERE NOT alike AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

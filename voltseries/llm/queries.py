@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from voltseries.llm import (
     chat_format,
     collision_ann,
+    collocations,
     fingerprint,
+    hard_negatives,
     language_id,
     license_scan,
+    minhash_dedup,
     mixing,
     ngram_join,
     packing,
@@ -75,6 +78,18 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat_format.read_back(chat_format.training_examples(turns.unionByName(added)))
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(_table(spark, folder, "documents"))
+
+
+def op12_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(_table(spark, folder, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.hard_negatives(_table(spark, folder, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
@@ -88,4 +103,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_filter": op8_url_filter,
         "op9_collision_ann": op9_collision_ann,
         "op10_chat_format": op10_chat_format,
+        "op11_collocations": op11_collocations,
+        "op12_minhash_dedup": op12_minhash_dedup,
+        "op13_hard_negatives": op13_hard_negatives,
     }
