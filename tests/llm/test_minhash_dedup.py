@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from conftest import words_of
 
+from voltseries.llm import minhash_dedup
 from voltseries.llm.minhash_dedup import BANDS, HASHES, ROWS, near_duplicates, signatures
 
 
@@ -57,16 +58,19 @@ def families(seed, n_families=8, size=12, length=70):
     return rows
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_equals_all_pairs(documents, seed):
+@pytest.mark.parametrize(("seed", "block"), [(1, 1_000_000), (2, 400)])
+def test_equals_all_pairs(documents, seed, block, monkeypatch):
+    monkeypatch.setattr(minhash_dedup, "BLOCK_ITEMS", block)
     rows = families(seed)
     want = brute(rows)
     assert len({w[2] for w in want}) < len(rows) // 2
     assert result(documents, rows) == want
 
 
-def test_a_family_around_no_centre(documents):
+@pytest.mark.parametrize("block", [1_000_000, 2_000])
+def test_a_family_around_no_centre(documents, block, monkeypatch):
     """Members differ from a common text in their own places: many pairs lie near the threshold."""
+    monkeypatch.setattr(minhash_dedup, "BLOCK_ITEMS", block)
     rng = random.Random(7)
     base = [f"w{i}" for i in range(200)]
     rows = []

@@ -10,10 +10,9 @@ similarity of their sets is at least ``percent`` / 100.
    bucket's first one, its centre. Pairs pass the signatures (an estimate more than six
    deviations below the threshold is dropped) and are then compared on their full sets.
 3. Alternating large-star and small-star rounds turn the links into components.
-4. What is left are classes that share a bucket and are still apart. Their stars meet, not
-   they themselves: 1 - Jaccard is a metric, so two members can only link if their distances
-   to their centres and the threshold add up to the distance of the centres. Those pairs of
-   members are verified in the same way, and the components follow anew.
+4. What is left are classes that share a bucket and are still in different components. The
+   bucket's sets, as 32-bit shingles, are compared in blocks, and only pairs that are similar
+   enough come out; they are confirmed on the full sets, and the components follow anew.
 
 No bucket emits all its pairs, and none is cut off.
 
@@ -28,6 +27,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -40,6 +40,7 @@ from voltseries.llm.shingles import list_array, shingle_sets
 
 BANDS, ROWS = 40, 5
 HASHES = BANDS * ROWS
+BLOCK_ITEMS = 1_000_000  # shingles of a bucket that one task compares with as many
 _WORK = 1 << 16  # shingles hashed in one step, at least one document
 _DRAWN = np.random.Generator(np.random.PCG64(12)).integers(0, 2**64 - 1, (2, HASHES), dtype=np.uint64)
 _FACTORS, _TERMS = _DRAWN[0] | np.uint64(1), _DRAWN[1]
@@ -83,12 +84,16 @@ def _sign(words: int):
     return run
 
 
-def _set_rows(words: int):
+def _set_rows(words: int, short: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = list(shingle_sets(batch.column(1), words))
             keys = pa.array([xxhash.xxh3_128_digest(s) for s in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays([keys, list_array(sets)], ["set_key", "items"])
+            if short:
+                items = pa.array([(s.view(np.uint64) >> np.uint64(32)).astype(np.uint32).tobytes() for s in sets], pa.binary())
+            else:
+                items = list_array(sets)
+            yield pa.RecordBatch.from_arrays([keys, items], ["set_key", "items"])
 
     return run
 
@@ -113,16 +118,18 @@ class _Verifier:
     def __init__(self, docs: DataFrame, classes: DataFrame, words: int):
         self.docs, self.classes, self.words = docs, classes, words
 
-    def _sets(self, pairs: DataFrame) -> DataFrame:
-        keys = pairs.select(F.col("x").alias("set_key")).union(pairs.select("y")).distinct()
+    def sets(self, keys: DataFrame, short: bool = False) -> DataFrame:
+        """set_key and items of some classes: a list, or the bytes of 32-bit shingles."""
         wanted = self.classes.select("set_key", "class_id").join(keys, "set_key")
         texts = maybe_in(self.docs, wanted.withColumnRenamed("class_id", "doc_id"), "doc_id").select("doc_id", "text")
-        rows = texts.mapInArrow(_set_rows(self.words), "set_key binary, items array<long>")
+        kind = "binary" if short else "array<long>"
+        rows = texts.mapInArrow(_set_rows(self.words, short), f"set_key binary, items {kind}")
         once = rows.join(keys, "set_key", "left_semi").groupBy("set_key").agg(F.first("items").alias("items"))
         return stored(once, "sets")
 
-    def compared(self, pairs: DataFrame, least: float) -> DataFrame:
-        """x, y and their Jaccard similarity, for pairs whose signatures may reach ``least``."""
+    def links(self, pairs: DataFrame, percent: int) -> DataFrame:
+        """The class ids a and b of the pairs that link."""
+        least = percent / 100
         lines = self.classes.select("set_key", "signature")
         both = (
             pairs.select("x", "y")
@@ -133,22 +140,19 @@ class _Verifier:
         )
         alike = both.mapInArrow(_agreement, "x binary, y binary, alike double")
         near = stored(alike.filter(F.col("alike") >= least - _deviations(least)).select("x", "y"), "near")
-        sets = self._sets(near)
+        sets = self.sets(near.select(F.col("x").alias("set_key")).union(near.select("y")).distinct())
         common = (
             near.join(sets.withColumnsRenamed({"set_key": "x", "items": "ix"}), "x")
             .join(sets.withColumnsRenamed({"set_key": "y", "items": "iy"}), "y")
             .select("x", "y", F.size("ix").alias("nx"), F.size("iy").alias("ny"), F.size(F.array_intersect("ix", "iy")).alias("k"))
         )
-        return common.select("x", "y", "k", (F.col("nx") + F.col("ny") - F.col("k")).alias("of"))
-
-    def links(self, pairs: DataFrame, percent: int) -> DataFrame:
-        """The pairs that link, with their class ids a and b, and their distance."""
+        union = F.col("nx") + F.col("ny") - F.col("k")
+        found = common.filter(F.col("k") * 100 >= union * percent)
         ids = self.classes.select("set_key", "class_id")
-        found = self.compared(pairs, percent / 100).filter(F.col("k") * 100 >= F.col("of") * percent)
         return (
             found.join(ids.withColumnsRenamed({"set_key": "x", "class_id": "a"}), "x")
             .join(ids.withColumnsRenamed({"set_key": "y", "class_id": "b"}), "y")
-            .select("x", "y", "a", "b", (1 - F.col("k") / F.col("of")).alias("far"))
+            .select("a", "b")
         )
 
 
@@ -169,55 +173,75 @@ def _first_pairs(postings: DataFrame, percent: int) -> DataFrame:
     return spokes.select(F.col("c.set_key").alias("x"), F.col("set_key").alias("y")).distinct()
 
 
+def _scan(percent: int):
+    """Links between different components among the sets of one or two blocks of a bucket."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        keys, comp, n = (rows[c].to_numpy() for c in ("set_key", "comp", "n"))
+        items = [np.frombuffer(x, np.uint32) for x in rows["items"]]
+        two = bool((rows["b1"] != rows["b2"]).any())
+        second = rows["second"].to_numpy() if two else np.ones(len(rows), bool)
+        values, codes = np.unique(np.concatenate(items), return_inverse=True)
+        starts = np.cumsum([0, *map(len, items)])
+        held = np.zeros(len(values), np.int32)
+        # Every pair has an end outside the most frequent component.
+        names, counts = np.unique(comp, return_counts=True)
+        main = comp == names[counts.argmax()]
+        place = np.arange(len(rows))
+        out = []
+        for i in np.flatnonzero(~main):
+            fit = (np.minimum(n, n[i]) * 100 >= np.maximum(n, n[i]) * percent) & (comp != comp[i])
+            fit &= (second != second[i]) if two else True
+            fit &= main | (place > i)
+            if fit.any():
+                mine = codes[starts[i] : starts[i + 1]]
+                held[mine] = 1
+                common = np.add.reduceat(held[codes], starts[:-1])
+                held[mine] = 0
+                out += [(keys[i], keys[j]) for j in np.flatnonzero(fit & (common * 100 >= (n + n[i] - common) * percent))]
+        return pd.DataFrame(out, columns=["x", "y"])
+
+    return run
+
+
 def _later_pairs(
-    classes: DataFrame, postings: DataFrame, links: DataFrame, labels: DataFrame, check: _Verifier, percent: int
+    classes: DataFrame, postings: DataFrame, labels: DataFrame, check: _Verifier, percent: int
 ) -> DataFrame:
-    """Pairs of classes in different components that a shared bucket and the metric still allow."""
-    reach = 1 - percent / 100 + 1e-9
-    nearest = links.groupBy("y").agg(F.min(F.struct("far", "x")).alias("s"))
-    marked = stored(
-        classes.select("set_key", "class_id", "n")
-        .join(labels, F.col("class_id") == F.col("vertex"), "left")
-        .join(nearest, F.col("set_key") == F.col("y"), "left")
-        .select(
-            "set_key",
-            "n",
-            F.coalesce("component", "class_id").alias("comp"),
-            F.coalesce("s.x", "set_key").alias("star"),
-            F.coalesce("s.far", F.lit(0.0)).alias("far"),
-        ),
-        "marked",
+    """Pairs of classes in different components that share a bucket and are similar enough.
+
+    A bucket is cut into blocks of about ``BLOCK_ITEMS`` shingles: large components have
+    blocks of their own, the others share some. Blocks of one and the same component are not
+    paired, so a large family costs no more than its meetings with what is outside.
+    """
+    marked = classes.select("set_key", "class_id", "n").join(labels, F.col("class_id") == F.col("vertex"), "left")
+    marked = marked.select("set_key", "n", F.coalesce("component", "class_id").alias("comp"))
+    held = stored(postings.select("bucket", "set_key").join(marked, "set_key"), "held")
+    by_comp = held.groupBy("bucket", "comp").agg(F.sum("n").alias("size"))
+    small = F.col("size") * 2 <= BLOCK_ITEMS
+    mixed = by_comp.groupBy("bucket").agg(F.count(F.lit(1)).alias("c"), F.sum(F.when(small, F.col("size"))).alias("rest"))
+    parts = F.ceil(F.coalesce(F.when(small, F.col("rest")), "size") / BLOCK_ITEMS)
+    sized = by_comp.join(mixed.filter("c > 1"), "bucket").select(
+        "bucket", "comp", F.when(small, F.lit(None)).otherwise(F.col("comp")).alias("own"), parts.alias("parts")
+    )
+    spread = F.xxhash64(F.when(F.col("own").isNull(), F.col("comp").cast("string")).otherwise(F.hex("set_key")))
+    block = F.xxhash64("own", F.pmod(spread, F.col("parts")))
+    open_ = stored(
+        held.join(sized, ["bucket", "comp"]).select("bucket", "set_key", "comp", "n", "own", block.alias("block")), "open"
     )
-    held = postings.select("bucket", "set_key").join(marked, "set_key")
-    by_star = held.groupBy("bucket", "star", "comp").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    by_star = stored(by_star, "held")
-    mixed = by_star.groupBy("bucket").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).filter("c1 < c2").select("bucket")
-    open_ = stored(by_star.join(mixed, "bucket", "left_semi"), "open")
-    one, two = (open_.select("bucket", *[F.col(c).alias(f"{c}{i}") for c in ("star", "comp", "low", "high")]) for i in (1, 2))
-    # Some sizes of the two stars must fit.
-    fit = (F.col("high1") * 100 >= F.col("low2") * percent) & (F.col("high2") * 100 >= F.col("low1") * percent)
-    apart = (F.col("star1") < F.col("star2")) & (F.col("comp1") != F.col("comp2")) & fit
-    met = one.join(two, (one["bucket"] == two["bucket"]) & apart).select("star1", "star2").distinct()
-    stars = marked.groupBy("star").agg(
-        F.max("far").alias("far"), ((F.count(F.lit(1)) == 1) & (F.min("set_key") == F.col("star"))).alias("single")
+    blocks = open_.select("bucket", "block", "own").distinct()
+    one, two = (blocks.select("bucket", F.col("block").alias(f"b{i}"), F.col("own").alias(f"o{i}")) for i in (1, 2))
+    apart = F.coalesce(F.col("o1") != F.col("o2"), F.lit(True))
+    met = one.join(two, (one["bucket"] == two["bucket"]) & (F.col("b1") <= F.col("b2")) & apart).select(
+        one["bucket"], "b1", "b2"
     )
-    s1, s2 = (stars.select(*[F.col(c).alias(f"{c}{i}") for c in stars.columns]) for i in (1, 2))
-    met = stored(met.join(s1, "star1").join(s2, "star2"), "met")
-    single = F.col("single1") & F.col("single2")
-    direct = met.filter(single).select(F.col("star1").alias("x"), F.col("star2").alias("y"))
-
-    # Centres, members' distances and the threshold: the least similarity that leaves a chance.
-    centres = met.filter(~single).select(F.col("star1").alias("x"), F.col("star2").alias("y"), "far1", "far2")
-    known = check.compared(centres, max(0.0, 1 - 3 * reach)).withColumn("between", 1 - F.col("k") / F.col("of"))
-    known = known.select("x", "y", "between").join(centres, ["x", "y"])
-    left = marked.select(F.col("star").alias("x"), F.col("set_key").alias("m1"), F.col("n").alias("n1"), F.col("comp").alias("c1"), F.col("far").alias("f1"))
-    right = marked.select(F.col("star").alias("y"), F.col("set_key").alias("m2"), F.col("n").alias("n2"), F.col("comp").alias("c2"), F.col("far").alias("f2"))
-    half = known.join(left, "x").filter(F.col("between") <= F.col("f1") + F.col("far2") + reach)
-    sizes = F.least("n1", "n2") * 100 >= F.greatest("n1", "n2") * percent
-    across = half.join(right, "y").filter(
-        (F.col("between") <= F.col("f1") + F.col("f2") + reach) & (F.col("c1") != F.col("c2")) & sizes
+    met = stored(met, "met")
+    sides = met.select("bucket", "b1", "b2", F.col("b1").alias("block"), F.lit(False).alias("second")).unionByName(
+        met.filter("b1 <> b2").select("bucket", "b1", "b2", F.col("b2").alias("block"), F.lit(True).alias("second"))
     )
-    return direct.unionByName(across.select(F.col("m1").alias("x"), F.col("m2").alias("y"))).distinct()
+    sets = check.sets(open_.select("set_key").distinct(), short=True)
+    rows = open_.drop("own").join(sides, ["bucket", "block"]).join(sets, "set_key")
+    found = rows.select("bucket", "b1", "b2", "second", "set_key", "comp", "n", "items").groupBy("bucket", "b1", "b2")
+    return found.applyInPandas(_scan(percent), "x binary, y binary").distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 80) -> DataFrame:
@@ -247,9 +271,9 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 80) -> DataF
         .select(F.col("doc_id").alias("a"), F.col("class_id").alias("b")),
         "ties",
     )
-    labels = stored(component_labels(links.select("a", "b").unionByName(ties)), "labels")
-    later = stored(_later_pairs(classes, postings, links, labels, check, percent), "pairs")
-    more = check.links(later, percent).select("a", "b")
+    labels = stored(component_labels(links.unionByName(ties)), "labels")
+    later = stored(_later_pairs(classes, postings, labels, check, percent), "pairs")
+    more = check.links(later, percent)
     joined = labels.select(F.col("vertex").alias("a"), F.col("component").alias("b")).unionByName(more)
     final = component_labels(joined)
 
