@@ -1,19 +1,18 @@
 """Phrase collocations by set-oriented relational mining.
 
-1. Texts are cut into pieces at punctuation; equal pieces of a language are counted once and
-   carry their number, so copies and common lines cost one row.
-2. The occurrence relation of length 1 has a row (piece, pos, word) for every word. It is
-   stored in buckets of the piece, sorted by piece and position.
-3. The relation of length k is filtered to frequent groups and merge-joined with that of
-   length 1 by piece and adjacent position. As both are bucketed by piece, no occurrence is
-   shuffled. The result is stored in the same way and its groups are counted, which needs a
-   shuffle of pre-aggregated groups only. That is repeated up to the longest phrase.
-4. Every cut of a frequent phrase meets the counts of its two parts; the lowest score counts.
+1. Texts are cut into pieces at punctuation. The occurrence relation of length 1 has a row
+   (piece, pos, word) for every word. It is stored in buckets of runs of consecutive pieces,
+   sorted by piece and position, as the scan gives them: nothing is shuffled.
+2. The relation of length k is filtered to frequent groups and merge-joined with that of
+   length 1 by piece and adjacent position. As both are bucketed alike, no occurrence is
+   shuffled. The result is stored in the same way and its groups are counted, which shuffles
+   pre-aggregated groups only. That is repeated up to the longest phrase.
+3. Every cut of a frequent phrase meets the counts of its two parts; the lowest score counts.
    Phrases that a frequent longer one holds most times are dropped, the rest are ranked.
 
-Words are 64-bit hashes inside the relations. The table of all words shows whether two words
-share a hash; if so, another seed is taken. The filter to frequent groups is a bit map of
-bounded size: what it lets through in error is not frequent after the join either.
+Words are 64-bit hashes of language and word inside the relations. The table of all words shows
+whether two share a hash; if so, another seed is taken. The filter to frequent groups is a
+bit map of bounded size: what it lets through in error is not frequent after the join either.
 
 Defined cases: a null text is empty and has no pieces; a null language is ``und``; pieces without
 words count for nothing; a text without punctuation is one piece, whatever its length; repeated
@@ -40,6 +39,7 @@ HELD_PERCENT = 50
 TOP = 2000
 SCALE = 1_000_000
 BUCKET_ROWS = 3_000_000
+RUN_BITS = 18  # 2^18 consecutive pieces go to one bucket
 MOST_BUCKETS = 50_000  # more rows make larger buckets, which are sorted on disk
 _BY_PIECE = "spark.sql.requireAllClusterKeysForCoPartition"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -47,7 +47,7 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 @contextmanager
 def _joined_by_piece(spark: SparkSession) -> Iterator[None]:
-    """Joins on piece and position may use the partitioning by piece alone."""
+    """Joins on run, piece and position may use the partitioning by run alone."""
     before = spark.conf.get(_BY_PIECE, None)
     spark.conf.set(_BY_PIECE, "false")
     try:
@@ -73,83 +73,86 @@ class _Relations:
         name = f"occurrences_{uuid.uuid4().hex}"
         self.names.append(name)
         writer = rows.write.format("parquet").option("path", scratch_path(self.spark, "occurrences"))
-        writer.bucketBy(self.buckets, "piece").sortBy("piece", "pos").saveAsTable(name)
+        writer.bucketBy(self.buckets, "run").sortBy("run", "piece", "pos").saveAsTable(name)
         return self.spark.table(name)
 
 
 def _pieces(docs: DataFrame) -> DataFrame:
-    """lang, piece, c and words: the distinct pieces with words, and how often each occurs."""
+    """lang and words of every piece that has words."""
     text = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), _UPPER, _LOWER)
     cut = docs.select(
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
         F.explode(F.split(text, r"[.,;:!?\x0A-\x0D]")).alias("piece"),
     ).select("lang", F.expr(r"trim(BOTH ' \t' FROM piece)").alias("piece"))
-    counted = cut.filter("piece <> ''").groupBy("lang", "piece").agg(F.count(F.lit(1)).alias("c"))
-    return stored(
-        counted.select(
-            F.monotonically_increasing_id().alias("piece"), "lang", "c", F.split("piece", "[ \t]+").alias("words")
-        ),
-        "pieces",
-    )
+    return cut.filter("piece <> ''").select("lang", F.split("piece", "[ \t]+").alias("words"))
+
+
+def _hash(seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), "lang", "word")
 
 
 def _numbered(words: DataFrame) -> tuple[DataFrame, int]:
-    """The words with their hash ``h``, under the first seed that gives each word of a language its own."""
+    """The words with their hash ``h``, under the first seed that gives each of them its own."""
     seed = 0
     while True:
-        hashed = words.withColumn("h", F.xxhash64(F.lit(seed), "word"))
-        if hashed.groupBy("lang", "h").count().filter("count > 1").isEmpty():
+        hashed = words.withColumn("h", _hash(seed))
+        if hashed.groupBy("h").count().filter("count > 1").isEmpty():
             return hashed, seed
         seed += 1
 
 
-def _key(k: int) -> Column:
-    return F.xxhash64("lang", *[f"w{i}" for i in range(1, k + 1)])
+def _names(first: int, last: int) -> list[str]:
+    return [f"w{i}" for i in range(first, last + 1)]
 
 
-def _only_frequent(rows: DataFrame, frequent: DataFrame, k: int) -> DataFrame:
-    wanted = frequent.select(_key(k).alias("_group"))
-    return maybe_in(rows.withColumn("_group", _key(k)), wanted, "_group").drop("_group")
+def _only_frequent(rows: DataFrame, frequent: DataFrame, names: list[str]) -> DataFrame:
+    """Rows whose words in ``names`` may be a frequent group; callers count exactly afterwards."""
+    wanted = frequent.select(F.xxhash64(*_names(1, len(names))).alias("_group"))
+    return maybe_in(rows.withColumn("_group", F.xxhash64(*names)), wanted, "_group").drop("_group")
 
 
 def _extended(rows: DataFrame, first: DataFrame, k: int) -> DataFrame:
     """The relation of length k + 1: each occurrence with the word behind it."""
-    right = first.select(F.col("piece").alias("_p"), F.col("pos").alias("_q"), F.col("w1").alias(f"w{k + 1}"))
-    adjacent = (F.col("piece") == F.col("_p")) & (F.col("pos") + k == F.col("_q"))
-    return rows.join(right.hint("merge"), adjacent).drop("_p", "_q")
+    right = first.select(
+        F.col("run").alias("_r"), F.col("piece").alias("_p"), F.col("pos").alias("_q"), F.col("w1").alias(f"w{k + 1}")
+    )
+    adjacent = (F.col("run") == F.col("_r")) & (F.col("piece") == F.col("_p")) & (F.col("pos") + k == F.col("_q"))
+    return rows.join(right.hint("merge"), adjacent).drop("_r", "_p", "_q")
 
 
 def _counted(rows: DataFrame, k: int, least: int) -> DataFrame:
-    words = [f"w{i}" for i in range(1, k + 1)]
-    return rows.groupBy("lang", *words).agg(F.sum("c").alias("f")).filter(F.col("f") >= least)
+    return rows.groupBy(*_names(1, k)).agg(F.count(F.lit(1)).alias("f")).filter(F.col("f") >= least)
 
 
 def frequent_groups(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
-    """(lang, words, f) of the frequent phrases up to ``longest`` words, and (lang, word, h, f) of all words."""
+    """(lang, words, f) of the frequent phrases up to ``longest`` words, and (lang, word, f, h) of all words."""
     spark = docs.sparkSession
     pieces = _pieces(docs)
-    spoken = pieces.select("lang", "c", F.explode("words").alias("word"))
-    words = stored(spoken.groupBy("lang", "word").agg(F.sum("c").alias("f")), "words")
-    words, seed = _numbered(words)
+    spoken = pieces.select("lang", F.explode("words").alias("word"))
+    words, seed = _numbered(stored(spoken.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("f")), "words"))
     total = words.agg(F.sum("f").alias("n")).first()["n"] or 0
-    found = [stored(words.filter(F.col("f") >= least).select("lang", F.col("h").alias("w1"), "f"), "groups")]
+    found = [stored(words.filter(F.col("f") >= least).select(F.col("h").alias("w1"), "f"), "groups")]
     with _Relations(spark, min(total // BUCKET_ROWS + 1, MOST_BUCKETS)) as relations, _joined_by_piece(spark):
-        dealt = pieces.repartition(relations.buckets, "piece")
-        places = dealt.select("piece", "lang", "c", F.posexplode("words").alias("pos", "word"))
-        rows = places.withColumn("w1", F.xxhash64(F.lit(seed), "word")).drop("word")
-        first = rows = relations.store(_only_frequent(rows, found[0], 1))
+        # A piece of one word has no phrases. The number holds the task above its 33 lowest bits.
+        phrases = pieces.filter(F.size("words") > 1).withColumn("piece", F.monotonically_increasing_id())
+        places = phrases.select("piece", "lang", F.posexplode("words").alias("pos", "word"))
+        rows = places.select(F.shiftright("piece", RUN_BITS).alias("run"), "piece", "pos", _hash(seed).alias("w1"))
+        first = rows = relations.store(_only_frequent(rows, found[0], ["w1"]))
         for k in range(1, longest):
             if k > 1:
-                rows = _only_frequent(rows, found[-1], k)
+                rows = _only_frequent(rows, found[-1], _names(1, k))
             rows = _extended(rows, first, k)
+            if k > 1:
+                rows = _only_frequent(rows, found[-1], _names(2, k + 1))
             if k + 1 < longest:
                 rows = relations.store(rows)
             found.append(stored(_counted(rows, k + 1, least), "groups"))
     every = None
     for k, groups in enumerate(found, 1):
-        listed = groups.select("lang", F.array(*[f"w{i}" for i in range(1, k + 1)]).alias("words"), "f")
+        listed = groups.select(F.array(*_names(1, k)).alias("words"), "f")
         every = listed if every is None else every.unionByName(listed)
-    return stored(every, "groups"), words
+    of = words.select("h", "lang")
+    return stored(every.join(of, F.col("words")[0] == F.col("h")).select("lang", "words", "f"), "groups"), words
 
 
 def _scored(groups: DataFrame) -> DataFrame:
@@ -192,7 +195,7 @@ def collocations(
     leading = stored(kept.withColumn("_place", place).filter(F.col("_place") <= top).drop("_place"), "leading")
     named = (
         leading.select("lang", "words", F.posexplode("words").alias("i", "h"))
-        .join(words.select("lang", "h", "word"), ["lang", "h"])
+        .join(words.select("h", "word"), "h")
         .groupBy("lang", "words")
         .agg(F.sort_array(F.collect_list(F.struct("i", "word"))).alias("w"))
         .select("lang", "words", F.array_join(F.transform("w", lambda x: x["word"]), " ").alias("phrase"))
