@@ -682,6 +682,20 @@ SELECT asset_type, timestamp, asset_id, {_GROSS},
   {_full_frame('AVG', _GROSS, 12, _BY_TYPE, 'timestamp, asset_id')} AS {_GROSS}_rolling_mean_12,
   {_full_frame('MAX', _GROSS, 12, _BY_TYPE, 'timestamp, asset_id')} AS {_GROSS}_rolling_max_12
 FROM stg_generation"""
+SQL["rolling_stats_year"] = f"""
+SELECT timestamp, asset_id, {_GROSS},
+  {_full_frame('AVG', _GROSS, 8760, '', 'timestamp, asset_id')} AS {_GROSS}_rolling_mean_8760,
+  {_full_frame('STDDEV_SAMP', _GROSS, 8760, '', 'timestamp, asset_id')} AS {_GROSS}_rolling_std_8760,
+  {_full_frame('MIN', _GROSS, 8760, '', 'timestamp, asset_id')} AS {_GROSS}_rolling_min_8760,
+  {_full_frame('MAX', _GROSS, 8760, '', 'timestamp, asset_id')} AS {_GROSS}_rolling_max_8760
+FROM stg_generation"""
+_F720 = "OVER (PARTITION BY asset_type ORDER BY timestamp, asset_id ROWS BETWEEN 719 PRECEDING AND CURRENT ROW)"
+_WIND_CF = "CASE WHEN wind_speed_mps IS NOT NULL AND capacity_factor IS NOT NULL THEN 1 END"
+SQL["rolling_correlation_month"] = f"""
+SELECT asset_type, timestamp, asset_id, {_r6('wind_speed_mps', 'capacity_factor')},
+  {r(f"CASE WHEN COUNT({_WIND_CF}) {_F720} = 720 THEN CORR(wind_speed_mps, capacity_factor) {_F720} END", 6)}
+    AS corr_wind_speed_mps_capacity_factor_rolling_720
+FROM joined"""
 SQL["rolling_7d_30d"] = """
 SELECT asset_id, date, rolling_7d_avg_generation, rolling_7d_avg_cf,
   rolling_30d_avg_generation, rolling_30d_avg_cf FROM weather_mart"""

@@ -7,7 +7,7 @@ are rounded to six digits at the end, for comparison with another engine.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -102,11 +102,14 @@ class Fleet:
         return weather_score.mart_asset_weather_performance(self.joined)
 
     @cached_property
-    def marts(self) -> dict[str, DataFrame]:
-        return {
-            "mart_asset_performance_daily": self.daily_mart,
-            "mart_asset_weather_performance": self.weather_mart,
-        }
+    def marts(self) -> Mapping[str, DataFrame]:
+        """Both marts by name; one is planned, and its hours staged, only when it is asked for."""
+        return metrics.LazyTables(
+            {
+                "mart_asset_performance_daily": lambda: self.daily_mart,
+                "mart_asset_weather_performance": lambda: self.weather_mart,
+            }
+        )
 
     @cached_property
     def daily_export(self) -> DataFrame:
@@ -400,6 +403,30 @@ def rolling_stats_whole_table(f: Fleet) -> DataFrame:
     )
 
 
+@_query
+def rolling_stats_year(f: Fleet) -> DataFrame:
+    """Frames of a year of hours over the whole table."""
+    rows = f.stg_generation.select("timestamp", "asset_id", "gross_generation_mwh")
+    return rounded(
+        ts.add_rolling_stats(
+            rows, "gross_generation_mwh", [8760], ["mean", "std", "min", "max"],
+            order_by=["timestamp", "asset_id"], block_rows=20_000,
+        )
+    )
+
+
+@_query
+def rolling_correlation_month(f: Fleet) -> DataFrame:
+    """Wind against output over the last 720 hours of a technology."""
+    rows = f.joined.select("asset_type", "timestamp", "asset_id", "wind_speed_mps", "capacity_factor")
+    return rounded(
+        ts.calculate_correlation(
+            rows, "wind_speed_mps", "capacity_factor", 720, "asset_type",
+            order_by=["timestamp", "asset_id"], block_rows=5_000,
+        )
+    )
+
+
 @_query
 def rolling_stats_split_series(f: Fleet) -> DataFrame:
     """Rolling statistics per technology, whose series are long: cut into blocks."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,6 +59,24 @@ def _model_of(measure: str) -> tuple[dict, str, str]:
     raise KeyError(f"unknown measure {measure}")
 
 
+class LazyTables(Mapping[str, DataFrame]):
+    """Tables by name, each planned at its first use and then kept."""
+
+    def __init__(self, plans: Mapping[str, Callable[[], DataFrame]]) -> None:
+        self._plans, self._built = dict(plans), {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._plans[name]()
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._plans)
+
+    def __len__(self) -> int:
+        return len(self._plans)
+
+
 def time_bucket(day: Column, grain: str) -> Column:
     """The first day of the day's week, month, quarter or year."""
     if grain not in GRAINS:

@@ -99,10 +99,12 @@ def over_blocks(
     reach_back: int,
     reach_ahead: int,
     block_rows: int,
+    long_frames: Callable[[DataFrame, Sequence[str], Sequence[str]], DataFrame] | None = None,
 ) -> DataFrame:
     """Window columns with frames that reach a bounded number of rows.
 
-    ``build`` gets a window spec and returns the named window columns. Each block
+    ``build`` gets a window spec and returns the named window columns; ``long_frames``, if
+    given, adds further columns to a frame, with the keys and the order to use. Each block
     of ``block_rows`` positions is one window partition; the rows its frames need
     from the neighbour blocks are copied in and dropped again afterwards. The
     result equals the plain window, for any ``block_rows``.
@@ -121,8 +123,7 @@ def over_blocks(
     )
     copied = placed.withColumn(_OWN, block).withColumn(_BLOCK, F.explode(homes))
     spec = Window.partitionBy(*partition_by, _BLOCK).orderBy(_POSITION)
-    return (
-        copied.select("*", *build(spec))
-        .filter(F.col(_BLOCK) == F.col(_OWN))
-        .drop(_BLOCK, _OWN, _POSITION)
-    )
+    windowed = copied.select("*", *build(spec))
+    if long_frames is not None:
+        windowed = long_frames(windowed, [*partition_by, _BLOCK], [_POSITION])
+    return windowed.filter(F.col(_BLOCK) == F.col(_OWN)).drop(_BLOCK, _OWN, _POSITION)

@@ -15,12 +15,15 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from voltseries.functions.calendar import iso_weekday
-from voltseries.functions.numeric import ratio, safe_corr
+from voltseries.functions.numeric import nan_to_null, ratio, safe_corr
+from voltseries.operators import long_frames
 from voltseries.operators.ordering import over_blocks
 
 Names = str | Sequence[str]
 
 DEFAULT_BLOCK_ROWS = 1_000_000
+# Longer frames are merged from two growing parts instead of being computed for each row.
+LONG_FRAME = 128
 ROLLING_STATS = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
 
 
@@ -44,13 +47,15 @@ def _windowed(
     back: int,
     ahead: int,
     block_rows: int | None,
+    long: Callable[[DataFrame, Sequence[str], Sequence[str]], DataFrame] | None = None,
 ) -> DataFrame:
     order, keys = _names(order_by), _names(partition_by)
-    if not build(Window.orderBy(*order)):
+    if not build(Window.orderBy(*order)) and long is None:
         return df
     if keys and block_rows is None:
-        return df.select("*", *build(Window.partitionBy(*keys).orderBy(*order)))
-    return over_blocks(df, build, order, keys, back, ahead, block_rows or DEFAULT_BLOCK_ROWS)
+        plain = df.select("*", *build(Window.partitionBy(*keys).orderBy(*order)))
+        return plain if long is None else long(plain, keys, order)
+    return over_blocks(df, build, order, keys, back, ahead, block_rows or DEFAULT_BLOCK_ROWS, long)
 
 
 def add_lag_features(
@@ -102,13 +107,16 @@ def add_rolling_stats(
     """Add ``{column}_rolling_{stat}_{n}`` over the last n rows.
 
     A value appears only where the frame is full and holds no NULL. Unknown
-    statistic names are skipped. All features share one sort.
+    statistic names are skipped. Features of frames up to ``LONG_FRAME`` share one sort;
+    a longer one costs as much whatever its length (``operators.long_frames``).
     """
     chosen = [s for s in (stats or ["mean", "std"]) if s in ROLLING_STATS]
+    short = [n for n in window_sizes if n <= LONG_FRAME]
+    rest = [n for n in window_sizes if n > LONG_FRAME] if chosen else []
 
     def build(w: WindowSpec) -> list[Column]:
         out = []
-        for size in window_sizes:
+        for size in short:
             frame = w.rowsBetween(-(size - 1), 0)
             full = F.count(column).over(frame) == size
             for stat in chosen:
@@ -116,8 +124,17 @@ def add_rolling_stats(
                 out.append(F.when(full, value).alias(f"{column}_rolling_{stat}_{size}"))
         return out
 
+    def long(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+        for size in rest:
+            rows = long_frames.rolling_stats(rows, column, size, chosen, keys, order)
+        return rows
+
     back = max(window_sizes, default=1) - 1
-    return _windowed(df, build, order_by, partition_by, back, 0, block_rows)
+    found = _windowed(df, build, order_by, partition_by, back, 0, block_rows, long if rest else None)
+    if not rest:
+        return found
+    # Columns in the order the sizes were asked for.
+    return found.select(*df.columns, *[f"{column}_rolling_{s}_{n}" for n in window_sizes for s in chosen])
 
 
 def calculate_correlation(
@@ -149,6 +166,12 @@ def calculate_correlation(
         full = F.count(both).over(frame) == window_size
         return [F.when(full, safe_corr(col1, col2, frame)).alias(name)]
 
+    def long(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+        x, y = nan_to_null(col1), nan_to_null(col2)
+        return long_frames.rolling_correlation(rows, x, y, window_size, name, keys, order)
+
+    if window_size > LONG_FRAME:
+        return _windowed(df, lambda w: [], order_by, partition_by, window_size - 1, 0, block_rows, long)
     return _windowed(df, build, order_by, partition_by, window_size - 1, 0, block_rows)
 
 
