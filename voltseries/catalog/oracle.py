@@ -586,6 +586,19 @@ WHERE asset_id IN (SELECT asset_id FROM assets_export WHERE asset_type = 'solar'
   AND date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'"""
 SQL["mart_asset_performance_daily"] = "SELECT * FROM daily_mart"
 SQL["mart_asset_weather_performance"] = "SELECT * FROM weather_mart"
+SQL["combined_assets"] = f"""
+SELECT timestamp, asset_id, {_r6('gross_generation_mwh')},
+  ROW_NUMBER() OVER (ORDER BY timestamp, asset_id) - 1 AS position FROM generation"""
+SQL["source_preference"] = """
+SELECT source, asset_id, COUNT(*) AS hours
+FROM weather, (VALUES ('modelled'), ('measured')) AS s(source) GROUP BY ALL"""
+SQL["materialised_alike"] = """
+SELECT kind, asset_type, COUNT(*) AS days
+FROM generation_daily, (VALUES ('inline'), ('view'), ('table')) AS k(kind) GROUP BY ALL"""
+SQL["stg_weather_distinct"] = "SELECT DISTINCT * FROM stg_weather"
+SQL["sorted_series"] = f"""
+SELECT date, {r('COALESCE(SUM(total_net_generation_mwh), 0)', 6)} AS value,
+  ROW_NUMBER() OVER (ORDER BY date) - 1 AS position FROM daily_export GROUP BY date"""
 SQL["expected_generation"] = """
 SELECT asset_id, timestamp, from_wind AS expected_generation_from_wind,
   from_sun AS expected_generation_from_solar, expected_generation_mwh
@@ -599,6 +612,7 @@ SQL["technology_score"] = (
     "SELECT asset_id, date, asset_type, performance_score FROM scored_days"
 )
 SQL["asset_correlations"] = "SELECT * FROM models"
+SQL["asset_models_incremental"] = "SELECT * FROM models"
 SQL["linfit_by_asset"] = f"SELECT asset_id, {_r6('slope', 'intercept', 'r2')} FROM local_fits"
 SQL["static_correlation"] = (
     f"SELECT {r('CORR(wind_speed_mps, net_generation_mwh)', 6)} "
@@ -926,6 +940,19 @@ FROM stg_generation
 WHERE net_generation_mwh IS NULL OR capacity_factor IS NULL
   OR (asset_type <> 'battery' AND (capacity_factor < 0 OR capacity_factor > 1.1))"""
 SQL["stored_failures"] = SQL["failing_rows"]
+_REPEATED = " UNION ALL ".join(
+    f"SELECT 'unique:{columns.replace(' ', '')}' AS rule, '{severity}' AS severity, COUNT(*) AS failures, "
+    "CAST(COALESCE(SUM(c), 0) AS BIGINT) AS n_records, COALESCE(MAX(c), 0) AS largest FROM "
+    f"(SELECT COUNT(*) AS c FROM raw_generation WHERE {' AND '.join(f'{x} IS NOT NULL' for x in columns.split(', '))} "
+    f"GROUP BY {columns} HAVING COUNT(*) > 1)"
+    for columns, severity in (
+        ("asset_id, timestamp", "warn"), ("_load_id", "error"), ("asset_id, timestamp, net_generation_mwh", "warn"),
+    )
+)
+SQL["unique_report"] = f"""
+SELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status
+FROM ({_REPEATED})"""
+SQL["report_during_write"] = f"SELECT * FROM ({SQL['rule_report_daily_mart']}) WHERE rule NOT LIKE 'unique%'"
 SQL["unique_violations"] = """
 SELECT asset_id, timestamp, COUNT(*) AS n_records FROM raw_generation
 GROUP BY asset_id, timestamp HAVING COUNT(*) > 1"""
@@ -985,6 +1012,19 @@ SELECT key, label, {r('value', 6)} AS value, display, unit FROM (
   UNION ALL SELECT 'battery_throughput', 'battery discharge', batt,
     {_COMMAS.format(x='batt')}, 'MWh delivered' FROM kpi_totals
   UNION ALL SELECT 'curtailment', 'curtailment', curt, {_COMMAS.format(x='curt')}, 'MWh' FROM kpi_totals)"""
+SQL["figures_by_grouping"] = f"""
+SELECT CASE WHEN GROUPING(date) = 0 THEN 'date' WHEN GROUPING(asset_id) = 0 THEN 'asset'
+    WHEN GROUPING(kind) = 0 THEN 'technology' ELSE 'total' END AS scope,
+  date, asset_id, kind AS technology,
+  {r('COALESCE(SUM(total_net_generation_mwh), 0)', 6)} AS net_generation,
+  {r("AVG(CASE WHEN asset_type IN ('wind', 'solar', 'gas') THEN COALESCE(daily_capacity_factor, 0) END)", 6)} AS capacity_factor,
+  {r('AVG(COALESCE(daily_capacity_factor, 0))', 6)} AS mean_capacity_factor,
+  {r("AVG(CASE WHEN asset_type = 'battery' THEN avg_soc_pct END)", 6)} AS battery_soc,
+  {r("COALESCE(SUM(CASE WHEN asset_type = 'gas' THEN total_co2_tonnes END), 0)", 6)} AS gas_emissions,
+  {r("COALESCE(SUM(CASE WHEN asset_type = 'battery' THEN total_discharge_mwh END), 0)", 6)} AS battery_throughput,
+  {r('COALESCE(SUM(total_curtailment_mwh), 0)', 6)} AS curtailment
+FROM (SELECT *, asset_type AS kind FROM daily_export)
+GROUP BY GROUPING SETS ((date), (asset_id), (kind), ())"""
 SQL["generation_by_date"] = (
     f"SELECT date, {r('COALESCE(SUM(total_net_generation_mwh), 0)', 6)} AS value "
     "FROM daily_export GROUP BY date"

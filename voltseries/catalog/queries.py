@@ -7,6 +7,7 @@ are rounded to six digits at the end, for comparison with another engine.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Mapping
 from functools import cached_property
 
@@ -20,8 +21,8 @@ from voltseries.operators import kpis, metrics, quality
 from voltseries.operators import timeseries as ts
 from voltseries.operators.dedup import keep_latest
 from voltseries.operators.joins import align_to_hours, select_assets, with_technology
-from voltseries.operators.ordering import rank_share
-from voltseries.plans import correlation_job, daily, export, fleet_balance
+from voltseries.operators.ordering import rank_share, with_position
+from voltseries.plans import correlation_job, daily, export, fleet_balance, model_state
 from voltseries.plans import local_flavour as local
 from voltseries.plans import staging, weather_score
 from voltseries.session import scratch_path
@@ -295,6 +296,55 @@ def technology_score(f: Fleet) -> DataFrame:
     )
 
 
+@_query
+def combined_assets(f: Fleet) -> DataFrame:
+    """Frames of the four technologies put together again, in an order that is kept as a column."""
+    columns = ["timestamp", "asset_id", "gross_generation_mwh"]
+    kinds = ("wind", "solar", "battery", "gas")
+    frames = [f.generation.filter(F.col("asset_type") == kind) for kind in kinds]
+    rows = tables.combine_assets(frames, columns, order_by=["timestamp", "asset_id"])
+    path = f.scratch("combined")
+    rows.write.parquet(path)
+    # Sorted files: the position of a row is read off the stored order, and checked by the SQL.
+    return rounded(with_position(f.spark.read.parquet(path), ["timestamp", "asset_id"], "position"))
+
+
+@_query
+def source_preference(f: Fleet) -> DataFrame:
+    """Measured weather where there is any, else the fallback, with its label."""
+    none = f.weather.filter("timestamp IS NULL")
+    found, label = tables.preferred_source(none, f.weather, "measured", "modelled")
+    first, own = tables.preferred_source(f.weather, none, "measured", "modelled")
+    parts = found.withColumn("source", F.lit(label)).unionByName(first.withColumn("source", F.lit(own)))
+    return parts.groupBy("source", "asset_id").agg(F.count(F.lit(1)).alias("hours"))
+
+
+@_query
+def materialised_alike(f: Fleet) -> DataFrame:
+    """One model inline, as a view and as a table: the same rows each time."""
+    view = tables.as_view(f.generation_daily, f"generation_daily_{uuid.uuid4().hex}")
+    table = tables.as_table(f.generation_daily, f.scratch("generation-daily"))
+    kinds = {"inline": f.generation_daily, "view": view, "table": table}
+    counted = [
+        df.groupBy("asset_type").agg(F.count(F.lit(1)).alias("days")).withColumn("kind", F.lit(kind))
+        for kind, df in kinds.items()
+    ]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
+@_query
+def stg_weather_distinct(f: Fleet) -> DataFrame:
+    """Raw rows loaded twice: the distinct staging gives each of them once."""
+    return staging.stg_weather(f.raw_weather.unionByName(f.raw_weather), distinct=True)
+
+
+@_query
+def sorted_series(f: Fleet) -> DataFrame:
+    """Daily generation of the fleet in the order of a chart, with the place of each point."""
+    days = kpis.generation_by_date(f.daily_export)
+    return rounded(with_position(days, ["date"], "position"))
+
+
 # --- statistics --------------------------------------------------------------
 
 
@@ -303,6 +353,15 @@ def asset_correlations(f: Fleet) -> DataFrame:
     return weather_score.asset_models(f.hours)
 
 
+@_query
+def asset_models_incremental(f: Fleet) -> DataFrame:
+    """The same models from a state that three loads of days have filled, one after the other."""
+    path = f.scratch("model-state")
+    for part in range(3):
+        model_state.update_state(f.hours.filter(F.dayofmonth("date") % 3 == part), path)
+    return model_state.models_of(model_state.read_state(f.spark, path))
+
+
 @_query
 def linfit_by_asset(f: Fleet) -> DataFrame:
     return rounded(
@@ -639,6 +698,29 @@ def unique_violations(f: Fleet) -> DataFrame:
     return quality.unique_violations(f.raw_generation, KEYS)
 
 
+UNIQUE_RULES = (
+    quality.unique(*KEYS, severity="warn"),
+    quality.unique("_load_id"),
+    quality.unique("asset_id", "timestamp", "net_generation_mwh", severity="warn"),
+)
+
+
+@_query
+def unique_report(f: Fleet) -> DataFrame:
+    """All uniqueness rules of the raw records in one shuffle."""
+    return quality.unique_report(f.raw_generation, UNIQUE_RULES)
+
+
+@_query
+def report_during_write(f: Fleet) -> DataFrame:
+    """Contract and rules of the daily mart, counted while it is written."""
+    rules = [r for r in quality.DAILY_MART_RULES if isinstance(r, quality.ColumnRule)]
+    rows = contracts.published_dates(f.daily_mart)
+    watched, watch = quality.observed(rows, rules)
+    tables.replace_table(watched, f.scratch("watched-mart"))
+    return quality.observed_report(f.spark, watch, rules)
+
+
 # --- metrics -----------------------------------------------------------------
 
 
@@ -712,6 +794,11 @@ def fleet_kpis(f: Fleet) -> DataFrame:
     return rounded(kpis.fleet_kpis(f.daily_export, f.assets_export))
 
 
+@_query
+def figures_by_grouping(f: Fleet) -> DataFrame:
+    return rounded(kpis.figures_by_grouping(f.daily_export, f.assets_export))
+
+
 @_query
 def generation_by_date(f: Fleet) -> DataFrame:
     return rounded(kpis.generation_by_date(f.daily_export))

@@ -91,18 +91,19 @@ def safe_corr(
     """
     x, y = _pair(nan_to_null(x), nan_to_null(y))
     var_x, var_y, cov = F.var_pop(x), F.var_pop(y), F.covar_pop(x, y)
+    # Merging partial variances leaves noise above 0 even for equal values; the extremes do not.
+    ends = [F.max(x), F.min(x), F.max(y), F.min(y)]
     if over is not None:
         var_x, var_y, cov = var_x.over(over), var_y.over(over), cov.over(over)
-    return F.when(
-        (var_x > 0) & (var_y > 0), F.try_divide(cov, F.sqrt(var_x) * F.sqrt(var_y))
-    )
+        ends = [e.over(over) for e in ends]
+    varies = (ends[0] > ends[1]) & (ends[2] > ends[3])
+    return F.when(varies, F.try_divide(cov, F.sqrt(var_x) * F.sqrt(var_y)))
 
 
 def safe_slope(y: Column | str, x: Column | str) -> Column:
     """Least-squares slope of y on x; NULL where x does not vary."""
     x, y = _pair(_col(x), _col(y))
-    var_x = F.var_pop(x)
-    return F.when(var_x > 0, F.try_divide(F.covar_pop(y, x), var_x))
+    return F.when(F.max(x) > F.min(x), F.try_divide(F.covar_pop(y, x), F.var_pop(x)))
 
 
 def safe_intercept(y: Column | str, x: Column | str) -> Column:

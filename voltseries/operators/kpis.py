@@ -11,6 +11,10 @@ from voltseries.operators.joins import with_technology
 # Stacking order of the generation mix.
 MIX_ORDER = ("wind", "solar", "gas", "battery")
 MIN_BAR_PCT = 1.5
+FIGURES = (
+    "net_generation", "capacity_factor", "mean_capacity_factor", "battery_soc", "gas_emissions",
+    "battery_throughput", "curtailment",
+)
 
 
 def _zero(c: Column | str) -> Column:
@@ -76,6 +80,38 @@ def fleet_kpis(daily: DataFrame, assets: DataFrame) -> DataFrame:
     return fleet_totals(daily, assets).select(F.inline(entries))
 
 
+def figures_by_grouping(daily: DataFrame, assets: DataFrame) -> DataFrame:
+    """The figures of the whole fleet and per day, asset and technology, from one pass.
+
+    ``scope`` says what a row is about: total, date, asset or technology; the columns of the
+    other groupings are NULL. A row of ``daily`` goes to one partial sum per grouping before the
+    only shuffle.
+    """
+    kind, net = F.col("technology"), F.col("total_net_generation_mwh")
+    rows = with_technology(daily, assets, "unknown")
+    factor = _zero("daily_capacity_factor")
+    values = [
+        _sum0(net).alias("net_generation"),
+        F.avg(F.when(kind.isin(*GENERATING), factor)).alias("capacity_factor"),
+        F.avg(factor).alias("mean_capacity_factor"),
+        F.avg(F.when(kind == "battery", F.col("avg_soc_pct"))).alias("battery_soc"),
+        _sum0(F.when(kind == "gas", F.col("total_co2_tonnes"))).alias("gas_emissions"),
+        _sum0(F.when(kind == "battery", F.col("total_discharge_mwh"))).alias("battery_throughput"),
+        _sum0("total_curtailment_mwh").alias("curtailment"),
+    ]
+    # The grouped columns are NULL in the other sets, so the figures read a copy of the technology.
+    keyed = rows.withColumn("_kind", kind)
+    sets = keyed.groupingSets([["date"], ["asset_id"], ["_kind"], []], "date", "asset_id", "_kind")
+    number = F.grouping_id("date", "asset_id", "_kind")
+    scope = F.element_at(F.lit(["technology", "asset", "date", "total"]), F.col("_set"))
+    place = F.when(number == 6, 1).when(number == 5, 2).when(number == 3, 3).otherwise(4)
+    return (
+        sets.agg(place.alias("_set"), *values)
+        .withColumn("scope", scope)
+        .select("scope", "date", "asset_id", F.col("_kind").alias("technology"), *FIGURES)
+    )
+
+
 def generation_by_date(daily: DataFrame) -> DataFrame:
     return daily.groupBy("date").agg(_sum0("total_net_generation_mwh").alias("value"))
 

@@ -22,15 +22,21 @@ _ROW, _OLD, _NEW, _SEEN = "_row", "_old", "_new", "_seen"
 def _growing(x: Column, y: Column | None, over: WindowSpec) -> list[Column]:
     """Count, extremes, mean and moments of x; with y also those of y and the co-moment."""
     n = F.count(x).over(over)
-    parts = [n.alias("n"), F.avg(x).over(over).alias("mx"), (F.var_pop(x).over(over) * n).alias("sx")]
-    if y is None:
-        return [*parts, F.min(x).over(over).alias("low"), F.max(x).over(over).alias("high")]
-    return [
-        *parts,
-        F.avg(y).over(over).alias("my"),
-        (F.var_pop(y).over(over) * n).alias("sy"),
-        (F.covar_pop(x, y).over(over) * n).alias("sxy"),
-    ]
+    parts = [n.alias("n")]
+    for name, value in (("x", x), ("y", y)):
+        if value is not None:
+            parts += [
+                F.avg(value).over(over).alias(f"m{name}"),
+                (F.var_pop(value).over(over) * n).alias(f"s{name}"),
+                F.min(value).over(over).alias(f"low{name}"),
+                F.max(value).over(over).alias(f"high{name}"),
+            ]
+    return parts if y is None else [*parts, (F.covar_pop(x, y).over(over) * n).alias("sxy")]
+
+
+def _varies(a: Column, b: Column, name: str) -> Column:
+    """Whether the frame holds two values; moments of equal ones may be noise above 0."""
+    return F.greatest(a[f"high{name}"], b[f"high{name}"]) > F.least(a[f"low{name}"], b[f"low{name}"])
 
 
 def _moment(a: Column, b: Column, sums: str, first: str, second: str) -> Column:
@@ -73,9 +79,12 @@ def rolling_stats(
     mean = F.when(both, a["mx"] + (b["mx"] - a["mx"]) * (b["n"] / n)).otherwise(F.coalesce(b["mx"], a["mx"]))
     values = {
         "mean": mean,
-        "std": F.when(n > 1, F.sqrt(_moment(a, b, "sx", "mx", "mx") / (n - 1))),
-        "min": F.least(a["low"], b["low"]),
-        "max": F.greatest(a["high"], b["high"]),
+        "std": F.when(
+            n > 1,
+            F.when(_varies(a, b, "x"), F.sqrt(_moment(a, b, "sx", "mx", "mx") / (n - 1))).otherwise(F.lit(0.0)),
+        ),
+        "min": F.least(a["lowx"], b["lowx"]),
+        "max": F.greatest(a["highx"], b["highx"]),
     }
     full = n == size
     return framed.select(
@@ -95,4 +104,5 @@ def rolling_correlation(
     a, b = F.col(_OLD), F.col(_NEW)
     sx, sy = _moment(a, b, "sx", "mx", "mx"), _moment(a, b, "sy", "my", "my")
     value = F.try_divide(_moment(a, b, "sxy", "mx", "my"), F.sqrt(sx) * F.sqrt(sy))
-    return framed.select(*df.columns, F.when((F.col(_SEEN) == size) & (sx > 0) & (sy > 0), value).alias(name))
+    varies = _varies(a, b, "x") & _varies(a, b, "y")
+    return framed.select(*df.columns, F.when((F.col(_SEEN) == size) & varies, value).alias(name))

@@ -6,8 +6,9 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voltseries.functions.categories import TECHNOLOGIES
 from voltseries.functions.numeric import true_when
@@ -111,11 +112,73 @@ def unique_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def repeated_keys(df: DataFrame, rules: Sequence[UniqueRule]) -> DataFrame:
+    """(rule_no, key, n_records): the keys of all uniqueness rules that occur more than once.
+
+    Each row is expanded by rule; one grouped count over (rule, key) serves all of them, so
+    the input is read, and its keys are shuffled, once. A key is the text of its columns; a
+    key with a NULL takes no part.
+    """
+    keys = []
+    for i, rule in enumerate(rules):
+        # 0.0 and -0.0 are equal, their texts are not.
+        texts = [_key_text(df, c) for c in rule.columns]
+        whole = F.array(*texts)
+        complete = ~F.exists(whole, lambda x: x.isNull())
+        keys.append(F.when(complete, F.struct(F.lit(i).alias("rule_no"), whole.alias("key"))))
+    return (
+        df.select(F.inline(F.array_compact(F.array(*keys))))
+        .groupBy("rule_no", "key")
+        .agg(F.count(F.lit(1)).alias("n_records"))
+        .filter(F.col("n_records") > 1)
+    )
+
+
+def _key_text(df: DataFrame, column: str) -> Column:
+    value = F.col(f"`{column}`")
+    if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
+        value = value + F.lit(0.0)
+    return value.cast("string")
+
+
+def unique_report(df: DataFrame, rules: Sequence[UniqueRule]) -> DataFrame:
+    """One row per uniqueness rule: repeated keys, the rows that hold them, and the largest group."""
+    found = repeated_keys(df, rules).groupBy("rule_no").agg(
+        F.count(F.lit(1)).alias("failures"), F.sum("n_records").alias("n_records"), F.max("n_records").alias("largest")
+    )
+    entries = [F.struct(F.lit(i).alias("rule_no"), F.lit(r.name).alias("rule"), F.lit(r.severity).alias("severity")) for i, r in enumerate(rules)]
+    named = df.sparkSession.range(1).select(F.inline(F.array(*entries)))
+    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("failures", "n_records", "largest")]
+    return _with_status(named.join(found, "rule_no", "left").select("rule", "severity", *zero))
+
+
+def _with_status(report: DataFrame) -> DataFrame:
+    status = F.when(F.col("failures") == 0, "pass").when(F.col("severity") == "warn", "warn").otherwise("fail")
+    return report.withColumn("status", status)
+
+
+def observed(df: DataFrame, rules: Sequence[ColumnRule]) -> tuple[DataFrame, Observation]:
+    """The frame, counting the broken rows of each rule while whatever reads it runs.
+
+    The counts are there once an action has read the whole frame.
+    """
+    watch = Observation()
+    counts = [F.count_if(r.broken()).alias(f"r{i}") for i, r in enumerate(rules)]
+    return df.observe(watch, F.count(F.lit(1)).alias("n_rows"), *counts), watch
+
+
+def observed_report(spark: SparkSession, watch: Observation, rules: Sequence[ColumnRule]) -> DataFrame:
+    """The rows of ``rule_report`` from the counts of a finished action."""
+    counts = watch.get
+    rows = [F.struct(F.lit(r.name).alias("rule"), F.lit(r.severity).alias("severity"), F.lit(int(counts[f"r{i}"])).cast("bigint").alias("failures")) for i, r in enumerate(rules)]
+    return _with_status(spark.range(1).select(F.inline(F.array(*rows))))
+
+
 def rule_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """One row per rule: failures, severity and status (pass, warn, fail).
 
     Failures are broken rows, or for uniqueness the keys that occur more than once.
-    All column rules share one aggregate; each uniqueness rule needs its own groups.
+    All column rules share one aggregate, and several uniqueness rules one shuffle.
     """
     parts = []
     column_rules = [r for r in rules if isinstance(r, ColumnRule)]
@@ -134,24 +197,24 @@ def rule_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             ]
         )
         parts.append(counts.select(F.inline(entries)))
-    for rule in rules:
-        if isinstance(rule, UniqueRule):
-            parts.append(
-                unique_violations(df, rule.columns)
-                .agg(F.count(F.lit(1)).alias("failures"))
-                .select(
-                    F.lit(rule.name).alias("rule"),
-                    F.lit(rule.severity).alias("severity"),
-                    "failures",
-                )
+    unique_rules = [r for r in rules if isinstance(r, UniqueRule)]
+    if len(unique_rules) > 1:
+        parts.append(unique_report(df, unique_rules).select("rule", "severity", "failures"))
+    elif unique_rules:
+        (rule,) = unique_rules
+        parts.append(
+            unique_violations(df, rule.columns)
+            .agg(F.count(F.lit(1)).alias("failures"))
+            .select(
+                F.lit(rule.name).alias("rule"),
+                F.lit(rule.severity).alias("severity"),
+                "failures",
             )
+        )
     report = parts[0]
     for part in parts[1:]:
         report = report.unionByName(part)
-    status = F.when(F.col("failures") == 0, "pass").when(
-        F.col("severity") == "warn", "warn"
-    ).otherwise("fail")
-    return report.withColumn("status", status)
+    return _with_status(report)
 
 
 def failing_rows(df: DataFrame, rules: Sequence[ColumnRule]) -> DataFrame:
@@ -163,14 +226,25 @@ def failing_rows(df: DataFrame, rules: Sequence[ColumnRule]) -> DataFrame:
 
 
 def store_failures(df: DataFrame, rules: Sequence[Rule], folder: str) -> None:
-    """Write failing rows, and repeated keys per uniqueness rule, for later review."""
+    """Write failing rows, and repeated keys per uniqueness rule, for later review.
+
+    The repeated keys of all uniqueness rules are found in one shuffle and stored; a rule's own
+    folder, with the columns of its key, is written from these few rows.
+    """
     columns = [r for r in rules if isinstance(r, ColumnRule)]
     if columns:
         failing_rows(df, columns).write.mode("overwrite").parquet(f"{folder}/rows")
-    for rule in rules:
-        if isinstance(rule, UniqueRule):
-            target = f"{folder}/unique_{'_'.join(rule.columns)}"
-            unique_violations(df, rule.columns).write.mode("overwrite").parquet(target)
+    unique_rules = [r for r in rules if isinstance(r, UniqueRule)]
+    if len(unique_rules) == 1:
+        (rule,) = unique_rules
+        unique_violations(df, rule.columns).write.mode("overwrite").parquet(f"{folder}/unique_{'_'.join(rule.columns)}")
+    elif unique_rules:
+        repeated_keys(df, unique_rules).write.mode("overwrite").parquet(f"{folder}/repeated_keys")
+        found = df.sparkSession.read.schema("rule_no int, key array<string>, n_records long").parquet(f"{folder}/repeated_keys")
+        for i, rule in enumerate(unique_rules):
+            names = [F.col("key")[j].cast(df.schema[c].dataType).alias(c) for j, c in enumerate(rule.columns)]
+            own = found.filter(F.col("rule_no") == i).select(*names, "n_records")
+            own.write.mode("overwrite").parquet(f"{folder}/unique_{'_'.join(rule.columns)}")
 
 
 def freshness(

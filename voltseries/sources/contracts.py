@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voltseries.operators.quality import ColumnRule, not_null, observed, observed_report
 from voltseries.sources.tables import replace_table
 
 # Names, types and NOT NULL columns of the published tables, in their order.
@@ -142,13 +145,27 @@ def _check_names(df: DataFrame, contract: T.StructType) -> None:
         raise ContractError("; ".join(problems))
 
 
-def write_with_contract(df: DataFrame, contract: T.StructType, path: str) -> None:
-    """Store a new version of a table that keeps its contract.
+def write_with_contract(
+    df: DataFrame, contract: T.StructType, path: str, rules: Sequence[ColumnRule] = ()
+) -> DataFrame:
+    """Store a new version of a table that keeps its contract; returns the report of ``rules``.
 
-    Names and types are checked before anything is written, NULLs as stored, so the
-    plan runs once. The version becomes current only then: readers of
-    ``tables.current_table`` see the old one until the new one is whole.
+    Names and types are checked before anything is written. NULLs in required columns and
+    the rows that break a rule are counted while the table is written, so there is one job,
+    and neither the input nor the stored table is read again. The version becomes current
+    only if no required value is missing: readers of ``tables.current_table`` see the old one
+    until then. Rules only report.
     """
     _check_names(df, contract)
     names = contract.fieldNames()
-    replace_table(df.select(*names), path, check=lambda stored: assert_contract(stored, contract))
+    required = [not_null(f.name) for f in contract.fields if not f.nullable]
+    watched, watch = observed(df.select(*names), [*required, *rules])
+
+    def check(_: DataFrame) -> None:
+        counts = watch.get
+        broken = [f"{r.column}: {counts[f'r{i}']} NULLs" for i, r in enumerate(required) if counts[f"r{i}"]]
+        if broken:
+            raise ContractError("; ".join(broken))
+
+    replace_table(watched, path, check=check)
+    return observed_report(df.sparkSession, watch, [*required, *rules])
