@@ -38,8 +38,8 @@ LEAST = 10
 HELD_PERCENT = 50
 TOP = 2000
 SCALE = 1_000_000
-BUCKET_ROWS = 3_000_000
-RUN_BITS = 18  # 2^18 consecutive pieces go to one bucket
+BUCKET_ROWS = 1_000_000  # about what a task sorts in memory
+RUN_BITS = 16  # 2^16 consecutive pieces go to one bucket
 MOST_BUCKETS = 50_000  # more rows make larger buckets, which are sorted on disk
 _BY_PIECE = "spark.sql.requireAllClusterKeysForCoPartition"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -77,13 +77,21 @@ class _Relations:
         return self.spark.table(name)
 
 
+def _lowered(docs: DataFrame) -> DataFrame:
+    text = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), _UPPER, _LOWER)
+    return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text.alias("text"))
+
+
+def _spoken(docs: DataFrame) -> DataFrame:
+    """lang and word of every word of every text; pieces do not matter here."""
+    words = F.split("text", r"[.,;:!?\x09-\x0D\x20]+")
+    return _lowered(docs).select("lang", F.explode(words).alias("word")).filter("word <> ''")
+
+
 def _pieces(docs: DataFrame) -> DataFrame:
     """lang and words of every piece that has words."""
-    text = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), _UPPER, _LOWER)
-    cut = docs.select(
-        F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
-        F.explode(F.split(text, r"[.,;:!?\x0A-\x0D]")).alias("piece"),
-    ).select("lang", F.expr(r"trim(BOTH ' \t' FROM piece)").alias("piece"))
+    cut = _lowered(docs).select("lang", F.explode(F.split("text", r"[.,;:!?\x0A-\x0D]")).alias("piece"))
+    cut = cut.select("lang", F.expr(r"trim(BOTH ' \t' FROM piece)").alias("piece"))
     return cut.filter("piece <> ''").select("lang", F.split("piece", "[ \t]+").alias("words"))
 
 
@@ -128,8 +136,7 @@ def frequent_groups(docs: DataFrame, longest: int = LONGEST, least: int = LEAST)
     """(lang, words, f) of the frequent phrases up to ``longest`` words, and (lang, word, f, h) of all words."""
     spark = docs.sparkSession
     pieces = _pieces(docs)
-    spoken = pieces.select("lang", F.explode("words").alias("word"))
-    words, seed = _numbered(stored(spoken.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("f")), "words"))
+    words, seed = _numbered(stored(_spoken(docs).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("f")), "words"))
     total = words.agg(F.sum("f").alias("n")).first()["n"] or 0
     found = [stored(words.filter(F.col("f") >= least).select(F.col("h").alias("w1"), "f"), "groups")]
     with _Relations(spark, min(total // BUCKET_ROWS + 1, MOST_BUCKETS)) as relations, _joined_by_piece(spark):
