@@ -18,6 +18,8 @@ STORING = {
     "weather_json_roundtrip", "assets_json_roundtrip", "flatten_hourly_payload",
     "csv_seed_roundtrip", "contract_checked_mart", "contract_daily_mart", "contract_dim_asset",
     "upsert_weather", "schema_evolution", "stored_failures", "correlation_job_summary",
+    "combined_assets", "sorted_series", "rolling_stats_year", "rolling_correlation_month",
+    "report_during_write", "asset_models_incremental",
 }
 
 
