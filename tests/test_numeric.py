@@ -13,6 +13,7 @@ from voltseries.functions.numeric import (
     safe_corr,
     safe_intercept,
     safe_slope,
+    without_noise,
 )
 
 
@@ -100,3 +101,10 @@ def test_large_finite_values_round_to_themselves(spark, value):
         round_dec("x", 4).alias("a"), round_dec(F.col("x"), 4).alias("b")
     ).first()
     assert (row.a, row.b) == (value, value)
+
+
+def test_noise_is_dropped_and_odd_values_stay(spark):
+    values = [0.29999999999999993, 0.30000000000000004, 94.99999999999999, 0.2999999999, 1e30, math.inf, None]
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate([*values, math.nan])], "i int, v double")
+    got = [r.w for r in frame.select("i", without_noise("v").alias("w")).orderBy("i").collect()]
+    assert got[:-1] == [0.3, 0.3, 95.0, 0.2999999999, 1e30, math.inf, None] and math.isnan(got[-1])

@@ -1,4 +1,5 @@
 import datetime as dt
+from itertools import permutations
 
 import pytest
 from test_staging import GENERATION, T0, generation, weather
@@ -155,6 +156,33 @@ def test_operational_ratio(spark):
     assert got == {("battery", 0): 88.0, ("battery", 1): None, ("gas", 0): 50.0, ("gas", 1): None}
 
 
+def test_local_labels_do_not_depend_on_the_order_of_a_sum(spark):
+    """Exactly 0.3 of capacity and a score of exactly 70, with the hours in every order."""
+    nets = [40.0 * (1.0 - 0.02 * 2), 40.0 * (1.0 - 0.02 * 3), -40.0]
+    gen = generation(
+        spark,
+        *[(h, f"B{i}", "battery", 0.0, n, 40.0, 1) for i, p in enumerate(permutations(nets)) for h, n in enumerate(p)],
+    )
+    days = local.daily_frame_observed_hours(gen, weather(spark, (0, "x", 1.0, 1.0, 1.0, 1))).collect()
+    assert len({r.daily_capacity_factor for r in days}) > 1
+    assert {r.daily_performance_rating for r in days} == {"Medium"}
+
+    orders = list(enumerate(permutations([702.0, 716.0, 682.0])))
+    gas = spark.createDataFrame(
+        [
+            (T0 + dt.timedelta(hours=h), f"G{i}", "gas", 5.0, 5.0, 0.0, 99.0, 100.0, None, None, None, 1.0,
+             6900.0 * 1000 / x, 1.0, 1)
+            for i, p in orders for h, x in enumerate(p)
+        ],
+        GENERATION,
+    )
+    plants = spark.createDataFrame([(f"G{i}", "S", "gas", 100.0, 30.0, -100.0, "X") for i, _ in orders], ASSET_SEED)
+    wx = weather(spark, (0, "x", 1.0, 1.0, 1.0, 1))
+    scored = local.weather_performance_local(gas, wx, plants, local.daily_frame_observed_hours(gas, wx)).collect()
+    assert len({r.performance_score for r in scored}) > 1
+    assert {r.performance_category for r in scored} == {"Fair"}
+
+
 def test_local_flavour_day_with_nothing_scored_is_poor(spark):
     gen = generation(spark, (0, "wind", "wind", 0.5, 0.5, 100.0, 1), (1, "wind", "wind", 0.6, 0.6, 100.0, 1))
     wx = weather(spark, (0, "wind", 1.0, 0.0, 1.0, 1), (1, "wind", 1.1, 0.0, 1.0, 1))

@@ -42,6 +42,12 @@ def round_dec(c: Column | str, digits: int) -> Column:
     return F.when(clear, nearest / factor + F.lit(0.0)).otherwise(F.coalesce(exact, whole))
 
 
+def without_noise(c: Column | str) -> Column:
+    """The value at twelve digits, for a comparison that the order of a sum must not decide."""
+    c = _col(c)
+    return F.coalesce(round_dec(c, 12), c)
+
+
 def nan_to_null(c: Column | str) -> Column:
     c = _col(c)
     return F.when(~F.isnan(c), c)

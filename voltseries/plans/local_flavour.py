@@ -2,7 +2,8 @@
 
 It differs from the mart chain on purpose: capacity factor over the observed
 hours, driver by technology, only operating hours scored, batteries and gas scored
-against their rated efficiency. Nothing is rounded, and sums of NULLs are 0.
+against their rated efficiency. Nothing is rounded, and sums of NULLs are 0. Labels
+of daily figures disregard binary noise, so that the order of a sum does not decide them.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from voltseries.functions.numeric import (
     linear_fit,
     nan_to_null,
     ratio,
+    without_noise,
 )
 
 OPERATING_SHARE = 0.02
@@ -67,7 +69,10 @@ def daily_frame_observed_hours(generation: DataFrame, weather: DataFrame) -> Dat
         days.join(weather_days, ["asset_id", "date"], "left")
         .withColumn("daily_capacity_factor", cf)
         .withColumn("data_completeness_pct", F.lit(100.0))
-        .withColumn("daily_performance_rating", cat.daily_rating(F.col("daily_capacity_factor")))
+        .withColumn(
+            "daily_performance_rating",
+            cat.daily_rating(without_noise("daily_capacity_factor")),
+        )
     )
 
 
@@ -169,7 +174,7 @@ def weather_performance_local(
     )
     score = clamp("avg_performance_ratio_pct", 0, 100)
     scored = days.withColumn("performance_score", score).withColumn(
-        "performance_category", cat.score_category(F.col("performance_score"))
+        "performance_category", cat.score_category(without_noise("performance_score"))
     )
     by_day = Window.partitionBy("asset_id").orderBy("date")
     rolling = daily.select(
