@@ -102,3 +102,15 @@ def test_all_rolling_features_share_one_sort(spark, static_plans):
     out = ts.add_rolling_stats(df, "x", [3, 7, 30], ["mean", "std", "min", "max"], "k", order_by="i")
     plan = physical_plan(out)
     assert plan.count("Sort [") == 1 and plan.count("Exchange") == 1
+
+
+@pytest.mark.parametrize("name", ["combined_assets", "source_preference"])
+def test_frames_of_a_union_are_not_deduplicated_in_each_branch(spark, monkeypatch, name):
+    """Branches with the same partitioning run in one task, and their sorts are held at once."""
+    seen = []
+    frame = type(spark.range(0))
+    real = frame.unionByName
+    monkeypatch.setattr(frame, "unionByName", lambda a, b, **kw: seen.append(real(a, b, **kw)) or seen[-1])
+    QUERIES[name](Fleet(spark, FOLDER))
+    assert seen and "Union" in physical_plan(seen[-1])
+    assert "Window" not in physical_plan(seen[-1])

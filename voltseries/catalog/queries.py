@@ -301,7 +301,9 @@ def combined_assets(f: Fleet) -> DataFrame:
     """Frames of the four technologies put together again, in an order that is kept as a column."""
     columns = ["timestamp", "asset_id", "gross_generation_mwh"]
     kinds = ("wind", "solar", "battery", "gas")
-    frames = [f.generation.filter(F.col("asset_type") == kind) for kind in kinds]
+    # Stored once: a union of four unstored frames would de-duplicate and sort four times in each task.
+    newest = tables.as_table(f.generation.select(*columns, "asset_type"), f.scratch("newest"))
+    frames = [newest.filter(F.col("asset_type") == kind) for kind in kinds]
     rows = tables.combine_assets(frames, columns, order_by=["timestamp", "asset_id"])
     path = f.scratch("combined")
     rows.write.parquet(path)
@@ -312,9 +314,10 @@ def combined_assets(f: Fleet) -> DataFrame:
 @_query
 def source_preference(f: Fleet) -> DataFrame:
     """Measured weather where there is any, else the fallback, with its label."""
-    none = f.weather.filter("timestamp IS NULL")
-    found, label = tables.preferred_source(none, f.weather, "measured", "modelled")
-    first, own = tables.preferred_source(f.weather, none, "measured", "modelled")
+    weather = tables.as_table(f.weather.select(*KEYS), f.scratch("newest"))
+    none = weather.filter("timestamp IS NULL")
+    found, label = tables.preferred_source(none, weather, "measured", "modelled")
+    first, own = tables.preferred_source(weather, none, "measured", "modelled")
     parts = found.withColumn("source", F.lit(label)).unionByName(first.withColumn("source", F.lit(own)))
     return parts.groupBy("source", "asset_id").agg(F.count(F.lit(1)).alias("hours"))
 
