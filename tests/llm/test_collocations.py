@@ -106,3 +106,12 @@ def test_occurrences_are_joined_without_a_shuffle(documents, spark, monkeypatch)
     assert not [x for x in ("(run", "(piece", "(_r") if f"Exchange hashpartitioning{x}" in plans[-1]]
     assert spark.conf.get(col._BY_PIECE) == before
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("occurrences_")]
+
+
+def test_occurrences_hold_one_place_and_end_with_their_piece(documents, monkeypatch):
+    kept = []
+    store = col._Relations.store
+    monkeypatch.setattr(col._Relations, "store", lambda self, rows: kept.append(rows.columns) or store(self, rows))
+    rows = [(i, "\tÉ Aa\tbB  . cC DD ,,é x Éa. \t z", "en", "s", 0) for i in range(12)]
+    assert result(documents(rows)) == brute(rows)
+    assert kept == [["run", "place", "w1"], ["run", "place", "w1", "w2"]]
